@@ -186,7 +186,7 @@ def _flat_study(study: DataFrame) -> DataFrame:
 def src_xml(spark: SparkSession, sf: str) -> DataFrame:
     target = shared_dir(spark, "xml")
     _xml_documents(spark, sf).write.text(target)
-    return _flat_study(sidecar.read_xml(spark, target))
+    return _flat_study(sidecar.read_xml(spark, target, whole_documents=False))
 
 
 @register

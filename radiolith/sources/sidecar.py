@@ -72,12 +72,18 @@ def read_xml(
     row_tag: str = "imaging_study",
     encoding: str = "utf-8",
     mode: str = "PERMISSIVE",
+    whole_documents: bool = True,
 ) -> DataFrame:
-    """XML elements named ``row_tag``, one row each. Attributes are fields with a leading underscore."""
+    """XML elements named ``row_tag``, one row each. Attributes are fields with a leading underscore.
+
+    A document file is read whole by one task; collections of elements without a common
+    root (``whole_documents=False``) are split.
+    """
     return (
         spark.read.format("xml")
         .schema(_with_corrupt(schema))
         .option("rowTag", row_tag)
+        .option("multiLine", str(whole_documents).lower())
         .option("encoding", encoding)
         .option("mode", mode)
         .option("attributePrefix", "_")

@@ -203,7 +203,7 @@ def _element(tag: int, vr: str, value: Column) -> Column:
     """One explicit little-endian data element; nothing where the value is NULL."""
     number = f"{(tag >> 16) & 0xFF:02X}{tag >> 24:02X}{tag & 0xFF:02X}{(tag >> 8) & 0xFF:02X}"
     if vr == "US":
-        body = _little(value, 2)
+        body = _little(value % 65536, 2)
     else:
         body = F.encode(F.concat(value, F.when(F.length(value) % 2 == 1, F.lit(" ")).otherwise("")), "UTF-8")
     head = F.unhex(F.lit(number + vr.encode().hex()))
