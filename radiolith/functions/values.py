@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _EDGE_SPACE = r"\A[\s\x1c-\x1f\x85\p{Z}]+|[\s\x1c-\x1f\x85\p{Z}]+\z"
-_DECIMAL = r"\A\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*\z"
+_NOT_SPACE = r"[^\s\x1c-\x1f\x85\p{Z}]"
+_NOT_NUMERIC = r"[^0-9+\-.eE\s]"
 
 
 def salted_hash(value: Column, salt: str) -> Column:
@@ -53,31 +54,41 @@ def is_blank(value: Column, dtype: T.DataType) -> Column:
     return value.isNull()
 
 
+def is_white(value: Column) -> Column:
+    """Whether a text has no character but white space; false for NULL."""
+    return true_or_false(~value.rlike(_NOT_SPACE))
+
+
 def real_number(value: Column, dtype: T.DataType) -> Column:
-    """Value as double; NULL where the text is no finite decimal number."""
+    """Value as double; NULL where the text is no decimal number (no NaN, infinity or type suffix)."""
     if isinstance(dtype, T.StringType):
-        value = F.when(value.rlike(_DECIMAL), value)
+        value = F.when(~value.rlike(_NOT_NUMERIC), value)
     return value.try_cast("double")
 
 
-def whole_number(value: Column, dtype: T.DataType) -> Column:
-    """Value as bigint; NULL where it is no whole number. ``"1"`` and ``"1.0"`` are both 1."""
-    if isinstance(dtype, T.IntegralType):
-        return value.cast("bigint")
-    number = real_number(value, dtype)
-    return F.when(number == F.floor(number), number.try_cast("bigint"))
+def only_whole(number: Column) -> Column:
+    """A double where it is a whole number, otherwise NULL. ``"1"`` and ``"1.0"`` both read as 1."""
+    return F.when(number == F.floor(number), number)
 
 
 def dicom_date(value: Column) -> Column:
-    """``yyyyMMdd`` text as a date; NULL for anything that is no calendar date of year 1 or later."""
-    parsed = F.try_to_date(F.when(value.rlike(r"\A[0-9]{8}\z"), value), "yyyyMMdd")
-    return F.when(F.year(parsed) >= 1, parsed)
+    """``yyyyMMdd`` text as a date; NULL for anything that is no calendar date of year 1 or later.
+
+    Goes through the ISO cast, which neither builds a formatter nor throws on bad input.
+    """
+    iso = F.concat_ws("-", F.substring(value, 1, 4), F.substring(value, 5, 2), F.substring(value, 7, 2))
+    return F.when(value.rlike(r"\A[0-9]{8}\z") & ~F.startswith(value, F.lit("0000")), iso).try_cast("date")
+
+
+def dicom_text(day: Column) -> Column:
+    """A date of the years 1 to 9999 as ``yyyyMMdd`` text."""
+    return F.translate(day.cast("string"), "-", "")
 
 
 def iso_date(value: Column) -> Column:
     """``yyyy-MM-dd`` text as a date; NULL for anything that is no calendar date of year 1 or later."""
-    parsed = F.try_to_date(F.when(value.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"), value), "yyyy-MM-dd")
-    return F.when(F.year(parsed) >= 1, parsed)
+    shaped = value.rlike(r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z") & ~F.startswith(value, F.lit("0000"))
+    return F.when(shaped, value).try_cast("date")
 
 
 def joined(flags: Sequence[tuple[Column, str]], separator: str = ",") -> Column:

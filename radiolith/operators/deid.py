@@ -11,7 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from radiolith.functions.values import dicom_date, labels, md5_mod, salted_hash, true_or_false, with_computed
+from radiolith.functions.values import (
+    dicom_date,
+    dicom_text,
+    labels,
+    md5_mod,
+    salted_hash,
+    true_or_false,
+    with_computed,
+)
 from radiolith.schemas import DATE_TAGS, DEID_METHOD, HASH_TAGS, INVENTORY_TAGS, REMOVE_TAGS
 
 SHIFT_RANGE = 730
@@ -49,17 +57,26 @@ def date_shift(patient_id: Column, salt: str, fixed: int | None = None) -> Colum
     return md5_mod(seed, SHIFT_RANGE) - F.lit(SHIFT_BACK)
 
 
-def shifted_date(value: Column, days: Column, on_bad_date: str = "keep") -> Column:
-    """A date tag moved by days. Text that is no date is kept, or dropped with ``on_bad_date="null"``."""
+def shifted_day(value: Column, days: Column) -> Column:
+    """A date tag as a date moved by days; NULL if it is no date."""
+    return F.date_add(dicom_date(value), days)
+
+
+def _shown_day(moved: Column, original: Column, on_bad_date: str) -> Column:
+    """A moved date as text. A tag that was no date is kept, or dropped with ``on_bad_date="null"``."""
     if on_bad_date not in ("keep", "null"):
         raise ValueError(f"on_bad_date must be keep or null, not {on_bad_date!r}")
-    moved = F.date_format(F.date_add(dicom_date(value), days), "yyyyMMdd")
-    return F.coalesce(moved, value) if on_bad_date == "keep" else moved
+    shown = dicom_text(moved)
+    return F.coalesce(shown, original) if on_bad_date == "keep" else shown
 
 
-def shift_overflows(value: Column, days: Column) -> Column:
-    """Whether a shift leaves the years 1 to 9999."""
-    return true_or_false(~F.year(F.date_add(dicom_date(value), days)).between(1, 9999))
+def _any_off_calendar(moved: dict[str, str]) -> Column:
+    """Whether one of a row's moved dates has left the years 1 to 9999."""
+    first, last = F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")
+    off = F.lit(False)
+    for name in moved.values():
+        off = off | true_or_false(~F.col(name).between(first, last))
+    return off
 
 
 def capped_age(age: Column) -> Column:
@@ -90,13 +107,32 @@ def remove_pixels(instances: DataFrame) -> DataFrame:
     return instances.drop("pixel_data").withColumn("has_pixel_data", F.lit(False))
 
 
+def _with_shift(instances: DataFrame, salt: str, fixed: int | None) -> tuple[DataFrame, dict[str, str]]:
+    """Rows with ``date_shift_days`` and each date tag's moved date, and the names of the latter by tag.
+
+    Each step is a projection of its own: the digest is computed once per row and each date
+    is parsed once, although later steps use them several times.
+    """
+    moved = {tag: f"_moved_{tag}" for tag in DATE_TAGS if tag in instances.columns}
+    shifted = instances.withColumn(_SHIFT, date_shift(F.col("PatientID"), salt, fixed))
+    return shifted.withColumns({name: shifted_day(F.col(tag), F.col(_SHIFT)) for tag, name in moved.items()}), moved
+
+
 def shift_dates(
     instances: DataFrame, salt: str, fixed: int | None = None, on_bad_date: str = "keep"
 ) -> DataFrame:
-    """Shift the date tags of each row by its patient's days, kept as ``date_shift_days``."""
-    present = [tag for tag in DATE_TAGS if tag in instances.columns]
-    shifted = instances.withColumn(_SHIFT, date_shift(F.col("PatientID"), salt, fixed))
-    return shifted.withColumns({tag: shifted_date(F.col(tag), F.col(_SHIFT), on_bad_date) for tag in present})
+    """Shift the date tags of each row by its patient's days, kept as ``date_shift_days``.
+
+    Where a date would leave the calendar, ``shift_failed`` is set and the row's date tags
+    are NULL.
+    """
+    shifted, moved = _with_shift(instances, salt, fixed)
+    checked = with_computed(shifted, shift_failed=_any_off_calendar(moved))
+    changed = {
+        tag: F.when(~F.col("shift_failed"), _shown_day(F.col(name), F.col(tag), on_bad_date))
+        for tag, name in moved.items()
+    }
+    return checked.withColumns(changed).drop(*moved.values())
 
 
 def deidentify_all(
@@ -114,17 +150,13 @@ def deidentify_all(
     A failed row keeps only what is known of its file, its SOPInstanceUID and the columns in
     ``keep``.
     """
-    dates = [tag for tag in DATE_TAGS if tag in instances.columns]
-    overflow = F.lit(False)
-    for tag in dates:
-        overflow = overflow | shift_overflows(F.col(tag), F.col(_SHIFT))
-    shifted = instances.withColumn(_SHIFT, date_shift(F.col("PatientID"), salt, fixed_shift))
+    shifted, moved = _with_shift(instances, salt, fixed_shift)
     age = F.col("PatientAge")
     failure = F.when(age_unreadable(age), F.lit("PatientAge is not a number of years")).when(
-        overflow, F.lit("date shift leaves the calendar")
+        _any_off_calendar(moved), F.lit("date shift leaves the calendar")
     )
     judged = with_computed(shifted, **{_FAILURE: failure})
-    changed = {tag: shifted_date(F.col(tag), F.col(_SHIFT), on_bad_date) for tag in dates}
+    changed = {tag: _shown_day(F.col(name), F.col(tag), on_bad_date) for tag, name in moved.items()}
     changed |= {tag: salted_hash(F.col(tag), salt) for tag in HASH_TAGS if tag in instances.columns}
     changed["PatientAge"] = capped_age(age)
     if private_tags and "private_tags" in instances.columns:
@@ -136,7 +168,7 @@ def deidentify_all(
     changed["PatientIdentityRemoved"] = F.lit("YES")
     changed["DeidentificationMethod"] = F.lit(DEID_METHOD)
 
-    dropped = {*REMOVE_TAGS, "pixel_data" if pixel_data else ""}
+    dropped = {*REMOVE_TAGS, *moved.values(), "pixel_data" if pixel_data else ""}
     safe = {"path", "length", "modificationTime", "SOPInstanceUID", _SHIFT, _FAILURE, *keep}
     columns = []
     for name in [c for c in judged.columns if c not in dropped] + [n for n in changed if n not in judged.columns]:

@@ -173,7 +173,8 @@ def validate_manifests(declared: DataFrame, files: DataFrame) -> DataFrame:
     File rules and the file count are aggregated per manifest before the join, so the join
     has one row per manifest on both sides. Declared sizes are not checked against the files.
     """
-    per_file = with_verdict(files, broken_flags(DELIVERY_FILE, Fields(files)))
+    file_fields = Fields(files)
+    per_file = with_verdict(files, broken_flags(DELIVERY_FILE, file_fields), file_fields)
     counted = per_file.groupBy("manifest_id").agg(
         F.count("*").alias("actual_files"),
         *[
@@ -184,7 +185,8 @@ def validate_manifests(declared: DataFrame, files: DataFrame) -> DataFrame:
     joined = declared.join(counted, "manifest_id", "left").withColumn(
         "actual_files", F.coalesce("actual_files", F.lit(0))
     )
-    flags = broken_flags(MANIFEST, Fields(joined))
+    fields = Fields(joined)
+    flags = broken_flags(MANIFEST, fields)
     flags += [(true_or_false(F.col(code)), code) for code in ("F1", "F2", "F3")]
     flags.append((~true_or_false(F.col("actual_files") == F.col("total_files")), "D7"))
-    return with_verdict(joined, flags).select(*declared.columns, "actual_files", "error_codes", "is_valid")
+    return with_verdict(joined, flags, fields).select(*declared.columns, "actual_files", "error_codes", "is_valid")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from radiolith.functions.values import is_blank, labels, real_number, strip, whole_number
+from radiolith.functions.values import is_blank, labels, only_whole, real_number, strip
 from radiolith.operators.structural import structural_errors, structural_warnings
 
 # Metadata name of each base tag.
@@ -46,6 +46,7 @@ MR_FIELDS = {
     "echo_time": "EchoTime",
     "magnetic_field_strength": "MagneticFieldStrength",
 }
+INTEGER_FIELDS = ("series_number", "instance_number", "rows", "columns", "bits_allocated", "bits_stored")
 
 
 def base_metadata(instances: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -103,21 +104,23 @@ def nested_records(metadata: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     become NULL here and are reported by the rules over the flat metadata.
     """
     types = {field.name: field.dataType for field in metadata.schema.fields}
+    numeric = (*INTEGER_FIELDS, *CT_FIELDS, *MR_FIELDS)
+    numbers = metadata.withColumns({f"_number_{n}": real_number(F.col(n), types[n]) for n in numeric})
 
     def text(name: str) -> Column:
         return F.col(name).alias(name)
 
     def whole(name: str) -> Column:
-        return whole_number(F.col(name), types[name]).try_cast("int").alias(name)
+        return only_whole(F.col(f"_number_{name}")).try_cast("int").alias(name)
 
     def real(name: str) -> Column:
-        return real_number(F.col(name), types[name]).alias(name)
+        return F.col(f"_number_{name}").alias(name)
 
     def block(modality: str, fields: Sequence[str]) -> Column:
         present = (F.col("modality") == modality) & F.coalesce(*[F.col(f).cast("string") for f in fields]).isNotNull()
         return F.when(present, F.struct(*[real(f) for f in fields]))
 
-    return metadata.select(
+    return numbers.select(
         *keep,
         F.struct(strip(F.col("patient_id")).alias("patient_id"), text("patient_sex"), text("patient_age")).alias("patient"),
         F.struct(

@@ -16,24 +16,25 @@ from pyspark.sql import types as T
 
 from radiolith.functions.values import (
     dicom_date,
+    is_white,
     iso_date,
     joined,
     real_number,
     strip,
     true_or_false,
-    whole_number,
     with_computed,
 )
 
 UID_TEXT = r"\A[0-9.]+\z"
-UID_DOTS = r"\A\.|\.\z|\.\."
 ISO_TIMESTAMP = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?(Z|[+-][0-9]{2}:[0-9]{2})\z"
 
 
 class Fields:
-    """The columns a rule may look at, with their types; a column the table lacks reads as NULL.
+    """The columns a rule may look at; a column the table lacks reads as NULL.
 
     ``prefix`` looks inside a struct column; ``names`` gives the table's names of the fields.
+    Numbers a rule asks for are collected, so that each is read from its text only once
+    (see ``with_verdict``).
     """
 
     def __init__(self, table: DataFrame, prefix: str = "", names: dict[str, str] | None = None) -> None:
@@ -41,6 +42,7 @@ class Fields:
         self.types = {field.name: field.dataType for field in schema.fields}
         self.prefix = prefix
         self.names = names or {}
+        self.numbers: dict[str, Column] = {}
 
     def __call__(self, field: str) -> Column:
         name = self.names.get(field, field)
@@ -48,14 +50,12 @@ class Fields:
             return F.lit(None).cast("string")
         return F.col(f"{self.prefix}.{name}" if self.prefix else name)
 
-    def kind(self, field: str) -> T.DataType:
-        return self.types.get(self.names.get(field, field), T.StringType())
-
-    def real(self, field: str) -> Column:
-        return real_number(self(field), self.kind(field))
-
-    def whole(self, field: str) -> Column:
-        return whole_number(self(field), self.kind(field))
+    def number(self, field: str) -> Column:
+        """The field as double; NULL if it is no number."""
+        kind = self.types.get(self.names.get(field, field), T.StringType())
+        helper = f"_number_{self.prefix}_{field}"
+        self.numbers[helper] = real_number(self(field), kind)
+        return F.col(helper)
 
 
 @dataclass(frozen=True)
@@ -95,8 +95,10 @@ def _number(code: str, field: str, least: int, most: int | None = None, whole: b
     limits = f"of at least {least}" if most is None else f"from {least} to {most}"
 
     def broken(f: Fields) -> Column:
-        number = f.whole(field) if whole else f.real(field)
+        number = f.number(field)
         inside = (number >= least) if most is None else number.between(least, most)
+        if whole:
+            inside = inside & (number == F.floor(number))
         wrong = ~true_or_false(inside)
         return wrong if required else f(field).isNotNull() & wrong
 
@@ -110,7 +112,9 @@ def _uid(code_text: str, code_dots: str, field: str) -> tuple[Rule, Rule]:
             code_dots,
             field,
             f"{field} must not start or end with a dot or have two dots in a row",
-            lambda f: true_or_false(f(field).rlike(UID_DOTS)),
+            lambda f: true_or_false(
+                F.startswith(f(field), F.lit(".")) | F.endswith(f(field), F.lit(".")) | F.contains(f(field), F.lit(".."))
+            ),
         ),
     )
 
@@ -134,7 +138,7 @@ def _no_timestamp(f: Fields) -> Column:
 
 PATIENT = (
     _length("P1", "patient_id", 1, 64),
-    Rule("P2", "patient_id", "patient_id must not be blank", lambda f: true_or_false(strip(f("patient_id")) == "")),
+    Rule("P2", "patient_id", "patient_id must not be blank", lambda f: is_white(f("patient_id"))),
     _one_of("P3", "patient_sex", ("M", "F", "O")),
     _matches("P4", "patient_age", r"\A[0-9]{3}[DWMY]\z", "patient_age must be three digits and one of D, W, M, Y"),
     Rule("P5", "patient_age", "patient_age must not exceed 150 years", _too_old),
@@ -167,7 +171,7 @@ IMAGE = (
         "I6",
         "bits_stored",
         "bits_stored must not exceed bits_allocated",
-        lambda f: true_or_false(f.whole("bits_stored") > f.whole("bits_allocated")),
+        lambda f: true_or_false(f.number("bits_stored") > f.number("bits_allocated")),
     ),
 )
 CT = (
@@ -237,9 +241,15 @@ _DETAILS = {rule.code: (rule.field, rule.message) for rule in reversed(ALL_RULES
 }
 
 
-def with_verdict(table: DataFrame, flags: Sequence[tuple[Column, str]]) -> DataFrame:
-    """Add ``error_codes`` (text, in catalogue order) and ``is_valid``."""
-    return with_computed(table, error_codes=joined(flags)).withColumn("is_valid", F.col("error_codes") == "")
+def with_verdict(table: DataFrame, flags: Sequence[tuple[Column, str]], *fields: Fields) -> DataFrame:
+    """Add ``error_codes`` (text, in catalogue order) and ``is_valid``.
+
+    The numbers that the flags' fields asked for are read in a projection of their own, and
+    the flags are evaluated once, whatever is later filtered by the verdict.
+    """
+    numbers = {name: number for f in fields for name, number in f.numbers.items()}
+    judged = with_computed(table.withColumns(numbers) if numbers else table, error_codes=joined(flags))
+    return judged.drop(*numbers).withColumn("is_valid", F.col("error_codes") == "")
 
 
 def with_error_details(judged: DataFrame) -> DataFrame:
@@ -263,7 +273,7 @@ def with_error_details(judged: DataFrame) -> DataFrame:
 def validate(table: DataFrame, *families: Sequence[Rule]) -> DataFrame:
     """A table with the verdict of the given rule families, applied to every row."""
     fields = Fields(table)
-    return with_verdict(table, [flag for family in families for flag in broken_flags(family, fields)])
+    return with_verdict(table, [flag for family in families for flag in broken_flags(family, fields)], fields)
 
 
 def image_flags(fields: Fields) -> list[tuple[Column, str]]:
@@ -289,7 +299,7 @@ def validate_metadata(metadata: DataFrame, names: dict[str, str] | None = None)
     fields = Fields(metadata, names=names)
     flags = [flag for family in (PATIENT, STUDY, SERIES) for flag in broken_flags(family, fields)]
     flags += image_flags(fields) + modality_flags(fields) + broken_flags(INSTANCE, fields)
-    return with_verdict(metadata, flags)
+    return with_verdict(metadata, flags, fields)
 
 
 def validate_side_metadata(metadata: DataFrame) -> DataFrame:
@@ -299,7 +309,7 @@ def validate_side_metadata(metadata: DataFrame) -> DataFrame:
 
 def validate_records(records: DataFrame) -> DataFrame:
     """Verdict over nested records: every block's rules and the cross-model rules."""
-    flags = []
+    flags, every_field = [], []
     for name, family in (
         ("patient", PATIENT),
         ("study", STUDY),
@@ -310,9 +320,11 @@ def validate_records(records: DataFrame) -> DataFrame:
         ("instance", INSTANCE),
     ):
         optional = name in ("image", "ct_metadata", "mr_metadata")
-        flags += broken_flags(family, Fields(records, name), F.col(name).isNotNull() if optional else None)
+        fields = Fields(records, name)
+        every_field.append(fields)
+        flags += broken_flags(family, fields, F.col(name).isNotNull() if optional else None)
     flags += cross_model_flags(F.col("series.modality"), F.col("ct_metadata"), F.col("mr_metadata"))
-    return with_verdict(records, flags)
+    return with_verdict(records, flags, *every_field)
 
 
 def validate_cross_model(records: DataFrame) -> DataFrame:
@@ -324,9 +336,9 @@ def validate_cross_model(records: DataFrame) -> DataFrame:
 
 def validate_nested_manifests(manifests: DataFrame) -> DataFrame:
     """Verdict over manifests that carry their files as an array."""
-    flags = broken_flags(MANIFEST, Fields(manifests))
-    files = F.col("files")
-    flags.append((~true_or_false(F.size(files) == Fields(manifests).whole("total_files")), "D7"))
+    fields, files = Fields(manifests), F.col("files")
+    flags = broken_flags(MANIFEST, fields)
+    flags.append((~true_or_false(F.size(files) == fields.number("total_files")), "D7"))
     wrong_file = F.exists(
         files,
         lambda x: (F.coalesce(F.char_length(x["file_path"]), F.lit(0)) < 1)
@@ -334,7 +346,7 @@ def validate_nested_manifests(manifests: DataFrame) -> DataFrame:
         | ~F.coalesce(F.char_length(x["checksum"]).between(32, 64), F.lit(False)),
     )
     flags.append((true_or_false(wrong_file), "F1-F3"))
-    return with_verdict(manifests, flags)
+    return with_verdict(manifests, flags, fields)
 
 
 def responses(judged: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

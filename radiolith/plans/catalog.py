@@ -427,13 +427,15 @@ def val_series(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def val_image(spark: SparkSession, sf: str) -> DataFrame:
     metadata = _metadata(spark, sf)
-    return _verdict(rules.with_verdict(metadata, rules.image_flags(rules.Fields(metadata))))
+    fields = rules.Fields(metadata)
+    return _verdict(rules.with_verdict(metadata, rules.image_flags(fields), fields))
 
 
 @register
 def val_modality(spark: SparkSession, sf: str) -> DataFrame:
     metadata = _metadata(spark, sf)
-    return _verdict(rules.with_verdict(metadata, rules.modality_flags(rules.Fields(metadata))))
+    fields = rules.Fields(metadata)
+    return _verdict(rules.with_verdict(metadata, rules.modality_flags(fields), fields))
 
 
 @register
@@ -793,12 +795,7 @@ def deid_date_shift(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def deid_shift_dates(spark: SparkSession, sf: str) -> DataFrame:
-    days = deid.date_shift(F.col("PatientID"), SALT)
-    instances = _instances(spark, sf)
-    overflow = F.lit(False)
-    for tag in DATE_TAGS:
-        overflow = overflow | deid.shift_overflows(F.col(tag), days)
-    return deid.shift_dates(instances.where(~overflow), SALT).select("path", *DATE_TAGS)
+    return deid.shift_dates(_instances(spark, sf), SALT).select("path", "shift_failed", *DATE_TAGS)
 
 
 @register

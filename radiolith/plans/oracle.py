@@ -694,7 +694,9 @@ ORACLE: dict[str, str] = {
     ),
     "deid_date_shift": _over("SELECT path, days AS date_shift_days FROM shifted", *SHIFTED),
     "deid_shift_dates": _over(
-        "SELECT path, " + ", ".join(f"{_moved(c)} AS {c}" for c in _DATES) + f" FROM shifted WHERE NOT {_OVERFLOW}",
+        "SELECT path, shift_failed, "
+        + ", ".join(f"CASE WHEN NOT shift_failed THEN {_moved(c)} END AS {c}" for c in _DATES)
+        + f" FROM (SELECT *, {_OVERFLOW} AS shift_failed FROM shifted)",
         *SHIFTED,
     ),
     "deid_cap_age": _over(f"SELECT path, {_AGE} AS PatientAge, {_BAD_AGE} AS unreadable FROM inst"),

@@ -7,12 +7,16 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+_COMPILE_LARGE = "-XX:-DontCompileHugeMethods"
+
 
 def build_session(app_name: str = "radiolith", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators are designed for.
 
     Shuffle width is left to adaptive execution: start from a wide
     ``spark.sql.shuffle.partitions`` on a cluster and let small partitions coalesce.
+    A verdict over the whole rule catalogue is one large generated method, which the JVM
+    would interpret instead of compiling unless told otherwise.
     """
     builder = (
         SparkSession.builder.appName(app_name)
@@ -21,6 +25,8 @@ def build_session(app_name: str = "radiolith", master: str | None = None, **conf
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.driver.extraJavaOptions", _COMPILE_LARGE)
+        .config("spark.executor.extraJavaOptions", _COMPILE_LARGE)
     )
     if master:
         builder = builder.master(master)

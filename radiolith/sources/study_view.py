@@ -164,6 +164,16 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_instances(lines, studies, patients)
 
 
+def _idle_cores(scan: DataFrame) -> int:
+    """The number of cores if a scan leaves some of them idle, else 0.
+
+    A table of a few files with one row group each is read by as many tasks, however much
+    is then computed per row. Tables with at least a split per core, so all large ones, give 0.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return cores if not scan.isStreaming and scan.rdd.getNumPartitions() < cores else 0
+
+
 def as_instances(lines: DataFrame, studies: DataFrame, patients: DataFrame) -> DataFrame:
     """``instances`` over given (batch or streaming) lines.
 
@@ -176,7 +186,11 @@ def as_instances(lines: DataFrame, studies: DataFrame, patients: DataFrame) -> D
     columns += [made[tag].alias(tag) for tag in INTEGER_TAGS]
     columns += [made[name].alias(name) for name in ("PixelSpacing", "has_pixel_data", "tags", "private_tags")]
     dated = studies.join(patients, F.col("o_custkey") == F.col("c_custkey"))
-    return lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey")).select(*columns)
+    joined = lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
+    cores = _idle_cores(lines)
+    if cores:
+        joined = joined.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    return joined.select(*columns)
 
 
 def object_key() -> Column:
