@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from radiolith.functions.keys import decoded
 from radiolith.schemas import ARRIVAL_EVENT
 
+_SCHEME = r"\A[a-z0-9]+:/*"
+
 
 def object_listing(spark: SparkSession, root: str, with_etag: bool = False, pattern: str = "*") -> DataFrame:
-    """All objects below a root: key, size, last_modified and etag.
+    """All objects below a root folder: key, size, last_modified and etag.
 
     Contents are read only when the etag is asked for.
     """
@@ -20,8 +24,9 @@ def object_listing(spark: SparkSession, root: str, with_etag: bool = False, patt
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    base = F.regexp_replace(F.lit(root.rstrip("/") + "/"), r"\A[a-z0-9]+:/*", "/")
-    key = F.substring_index(F.regexp_replace("path", r"\A[a-z0-9]+:/*", "/"), base, -1)
+    base = re.sub(_SCHEME, "/", root.rstrip("/") + "/")
+    plain = F.regexp_replace("path", _SCHEME, "/")
+    key = F.substring(plain, F.lit(len(base) + 1), F.length(plain))
     return files.select(
         key.alias("key"),
         F.col("length").alias("size"),
