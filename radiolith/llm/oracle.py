@@ -16,6 +16,18 @@ ORACLE: dict[str, str] = {
             FROM fits GROUP BY host, path)
         SELECT page_id, u.host, u.path, rule, coalesce(verdict, 'allow') AS verdict
         FROM u LEFT JOIN best ON u.host = best.host AND u.path = best.path""",
+    "op5_substring_dedup": r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents),
+        w AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS h
+            FROM (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM d)),
+        r AS (SELECT doc_id, i FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM r),
+        gaps AS (SELECT doc_id, list(j) AS gone FROM gone GROUP BY doc_id),
+        k AS (SELECT d.doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed,
+            CASE WHEN gone IS NULL THEN words
+                ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END AS kept
+            FROM d LEFT JOIN gaps ON d.doc_id = gaps.doc_id)
+        SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""",
     "op10_exact_dedup": r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
             sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256 FROM documents),
         g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
