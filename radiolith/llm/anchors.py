@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from radiolith.llm.common import keyed, shared_folder, text_bytes
+from radiolith.llm.common import keyed, stored, text_bytes
 
 FILTER_BITS = 1 << 26
 _CHUNK = 1 << 18
@@ -183,14 +183,12 @@ def anchor_table(documents: DataFrame, id_col: str, text_col: str, tokens_of: Ca
                 names=["id", "size", "sha", "text", "anchors"],
             )
 
-    path = shared_folder(spark, "anchors")
     made = rows.mapInArrow(
         run,
         f"id {kind}, size long, sha string, text binary, "
         "anchors array<struct<bucket: long, context: long, first: int, last: int>>",
     )
-    made.withColumn("doc", F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path)
+    return stored(made.withColumn("doc", F.monotonically_increasing_id()), "anchors")
 
 
 def settle(table: DataFrame) -> DataFrame:
@@ -201,12 +199,13 @@ def settle(table: DataFrame) -> DataFrame:
     classes = anchors.groupBy("bucket", "context").agg(F.count("*").alias("copies"), F.min(place).alias("lead"))
     buckets = classes.groupBy("bucket").agg(F.count("*").alias("contexts"))
     known = classes.join(buckets, "bucket").where("copies > 1 or contexts > 1")
-    return (
+    found = (
         anchors.join(known, ["bucket", "context"])
         .select("doc", "bucket", "first", "last", (F.col("copies") > 1).alias("settled"),
                 ((place == F.col("lead")) & (F.col("contexts") > 1)).alias("leads"), "contexts")
         .where("settled or leads")
     )
+    return stored(found, "settled")
 
 
 def spans(frame: DataFrame) -> DataFrame:

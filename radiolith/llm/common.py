@@ -43,6 +43,13 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def stored(frame: DataFrame, purpose: str) -> DataFrame:
+    """The frame computed once, as a Parquet table in the shared folder; smaller than a checkpoint."""
+    path = shared_folder(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path)
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -8,6 +8,9 @@ _URL = r"""SELECT page_id,
         'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
     regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM pages"""
 
+_WORDS = r"""list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"""
+
 ORACLE: dict[str, str] = {
     "op1_url_filter": f"""WITH u AS ({_URL}),
         fits AS (SELECT DISTINCT host, path, rule_host || rule_path AS rule, action FROM u, {_RULES}
@@ -16,6 +19,15 @@ ORACLE: dict[str, str] = {
             FROM fits GROUP BY host, path)
         SELECT page_id, u.host, u.path, rule, coalesce(verdict, 'allow') AS verdict
         FROM u LEFT JOIN best ON u.host = best.host AND u.path = best.path""",
+    "op4_chat": r"""WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, n, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(n, r)),
+        x AS (SELECT *, 23 + length(role) + length(text) + length(text) - length(replace(text, chr(92), ''))
+            + len(regexp_extract_all(text, '<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>|<image>|<audio>|<document>')) AS chars FROM t)
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+            sum(chars)::BIGINT AS formatted_chars FROM x GROUP BY conv_id""",
     "op5_substring_dedup": r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
             FROM documents),
         w AS (SELECT doc_id, i, md5(array_to_string(words[i:i + 34], ' ')) AS h
@@ -28,6 +40,19 @@ ORACLE: dict[str, str] = {
                 ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END AS kept
             FROM d LEFT JOIN gaps ON d.doc_id = gaps.doc_id)
         SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""",
+    "op8_decontaminate": rf"""WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        b AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
+        bw AS (SELECT DISTINCT item_id, least(10, len(words)) AS k, unnest(list_transform(range(1, len(words) - least(10, len(words)) + 2),
+            lambda i: array_to_string(words[i:i + least(10, len(words)) - 1], ' '))) AS w FROM b WHERE len(words) > 0),
+        dw AS (SELECT doc_id, i, k, array_to_string(words[i:i + k - 1], ' ') AS w
+            FROM (SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw))),
+        h AS (SELECT doc_id, i, dw.k, item_id FROM dw JOIN bw ON dw.w = bw.w AND dw.k = bw.k),
+        hit AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS j FROM h) GROUP BY doc_id),
+        it AS (SELECT doc_id, count(*) AS n_items, string_agg(s, ',' ORDER BY s) AS items
+            FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM h) GROUP BY doc_id)
+        SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+            sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_id""",
     "op10_exact_dedup": r"""WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n,
             sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')) AS text_sha256 FROM documents),
         g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,

@@ -171,7 +171,8 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     table = anchor_table(documents, id_col, text_col, word_tokens, _whole, sampling)
     anchors = settle(table)
     asked = anchors.where("leads").groupBy("doc").agg(F.collect_list(F.struct("bucket", "first", "last", "contexts")).alias("runs"))
-    texts = table.where("text is not null").select("doc", "text")
+    # The same columns for both joins below, so that the texts are shuffled once.
+    texts = table.where("text is not null and doc is not null").select("doc", "id", "size", "text")
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(rows):
@@ -230,7 +231,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
             )
 
     cut_texts = (
-        table.where("text is not null").select("doc", "id", "size", "text").join(repeated, "doc", "left")
+        texts.join(repeated, "doc", "left")
         .mapInArrow(remove, f"id {kind}, kept string, n_words long, n_removed long, kept_sha256 string")
     )
     return whole.union(cut_texts).withColumnRenamed("id", id_col)
