@@ -40,6 +40,13 @@ ORACLE: dict[str, str] = {
                 ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda x: NOT list_contains(gone, x[2])), lambda x: x[1]) END AS kept
             FROM d LEFT JOIN gaps ON d.doc_id = gaps.doc_id)
         SELECT doc_id, n_words, n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""",
+    "op7_warc": r"""WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+        g AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS top FROM p),
+        d AS (SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                (((('0x' || h[1 + 5 * (j // 4):5 + 5 * (j // 4)])::BIGINT >> (15 - 5 * (j % 4))) & 31) + 1)::BIGINT, 1), '' ORDER BY j) AS payload_digest
+            FROM p, range(32) r(j) GROUP BY page_id)
+        SELECT g.page_id, payload_bytes, payload_digest, CASE WHEN g.page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN g.page_id = top THEN NULL ELSE top END AS refers_to FROM g JOIN d ON g.page_id = d.page_id""",
     "op8_decontaminate": rf"""WITH d AS (SELECT doc_id, {_WORDS} AS words FROM documents),
         b AS (SELECT item_id, {_WORDS} AS words FROM benchmark),
         bw AS (SELECT DISTINCT item_id, least(10, len(words)) AS k, unnest(list_transform(range(1, len(words) - least(10, len(words)) + 2),
