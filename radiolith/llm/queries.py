@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radiolith.llm import chat, decontaminate, exact_dedup, simhash, substring_dedup, suffix_dedup, url_filter, warc
+from radiolith.llm import chat, decontaminate, exact_dedup, quality, simhash, substring_dedup, suffix_dedup, url_filter, warc
 from radiolith.llm.common import table
 
 #: The rules that op1 judges by: action, host, path.
@@ -64,10 +64,16 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    classifier = quality.train(documents, table(spark, sf_dir, "labels"))
+    return quality.classify(documents, classifier).select("doc_id", "score", "keep")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_simhash, op4_chat, op5_substring_dedup, op7_warc, op8_decontaminate, op10_exact_dedup)
+    f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_simhash, op4_chat, op5_substring_dedup, op7_warc, op8_decontaminate, op9_quality, op10_exact_dedup)
 }
