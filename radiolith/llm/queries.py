@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radiolith.llm import chat, decontaminate, exact_dedup, quality, simhash, substring_dedup, suffix_dedup, url_filter, warc
+from radiolith.llm import chat, decontaminate, exact_dedup, pieces, quality, simhash, substring_dedup, suffix_dedup, url_filter, warc
 from radiolith.llm.common import table
 
 #: The rules that op1 judges by: action, host, path.
@@ -44,6 +44,10 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op6_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages, folder = table(spark, sf_dir, "pages"), warc.archive_folder(spark)
     archive = warc.write_archive(pages, folder)
@@ -75,5 +79,5 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_simhash, op4_chat, op5_substring_dedup, op7_warc, op8_decontaminate, op9_quality, op10_exact_dedup)
+    f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_simhash, op4_chat, op5_substring_dedup, op6_pieces, op7_warc, op8_decontaminate, op9_quality, op10_exact_dedup)
 }
