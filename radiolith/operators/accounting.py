@@ -80,19 +80,18 @@ def pipeline_results(ingestion: DataFrame, validation: DataFrame, deidentificati
 def metric_rollup(points: DataFrame, period: str = "5 minutes") -> DataFrame:
     """Sum, average, maximum and number of points per metric and period.
 
-    Sums are taken over decimals, so they do not depend on the order of rows.
+    Sums are plain doubles: small and large values both count. Round where they are shown.
     """
-    exact = F.sum(F.col("value").cast("decimal(28,6)"))
     return (
         points.groupBy(F.window("ts", period).alias("w"), "namespace", "name")
-        .agg(exact.alias("total"), F.max("value").alias("maximum"), F.count("value").alias("points"))
+        .agg(F.sum("value").alias("total"), F.max("value").alias("maximum"), F.count("value").alias("points"))
         .select(
             F.col("w.start").alias("period_start"),
             F.col("w.end").alias("period_end"),
             "namespace",
             "name",
-            F.col("total").cast("double").alias("total"),
-            (F.col("total").cast("double") / F.col("points")).alias("average"),
+            "total",
+            (F.col("total") / F.col("points")).alias("average"),
             "maximum",
             "points",
         )
@@ -105,7 +104,7 @@ def alarms(rollup: DataFrame, threshold: float = 0) -> DataFrame:
 
 
 def read_log(
-    events: DataFrame, start: datetime | str | None = None, end: datetime | str | None = None, limit: int | None = 100
+    events: DataFrame, start: datetime | str | None = None, end: datetime | str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Log events from ``start`` up to but not including ``end``, in time order."""
     found = events
@@ -116,14 +115,14 @@ def read_log(
     return found if limit is None else found.orderBy("ts", "event_id").limit(limit)
 
 
-def failed_operations(events: DataFrame, limit: int | None = 100) -> DataFrame:
+def failed_operations(events: DataFrame, limit: int | None = None) -> DataFrame:
     """The latest failed operations."""
     found = events.where(F.col("status").isin("failed", "error"))
     return found if limit is None else found.orderBy(F.desc("ts"), "event_id").limit(limit)
 
 
 def list_runs(
-    runs: DataFrame, machine: str | None = None, status: str | None = None, limit: int | None = 100
+    runs: DataFrame, machine: str | None = None, status: str | None = None, limit: int | None = None
 ) -> DataFrame:
     """Runs of a state machine, latest first, optionally with one status only."""
     found = runs.select("execution_arn", "state_machine_arn", "name", "status", "start_date", "stop_date")

@@ -21,11 +21,18 @@ from radiolith.functions.values import (
     with_computed,
 )
 from radiolith.schemas import DATE_TAGS, DEID_METHOD, HASH_TAGS, INVENTORY_TAGS, REMOVE_TAGS
+from radiolith.sources.header import NUMBERS
 
 SHIFT_RANGE = 730
 SHIFT_BACK = 365
 OLDEST_SHOWN = 89
 OLDEST_LABEL = "090Y"
+#: Keys of ``tags`` that name a removed tag, as keyword and as number.
+_REMOVED_KEYS = (
+    *REMOVE_TAGS,
+    *(f"{NUMBERS[t] >> 16:04x},{NUMBERS[t] & 0xFFFF:04x}" for t in REMOVE_TAGS if t in NUMBERS),
+)
+
 _SHIFT, _FAILURE = "date_shift_days", "failure"
 
 
@@ -40,7 +47,7 @@ def remove_tags(instances: DataFrame) -> DataFrame:
     left = instances.drop(*REMOVE_TAGS)
     if "tags" not in left.columns:
         return left
-    return left.withColumn("tags", F.map_filter("tags", lambda key, _: ~key.isin(*REMOVE_TAGS)))
+    return left.withColumn("tags", F.map_filter("tags", lambda key, _: ~key.isin(*_REMOVED_KEYS)))
 
 
 def hash_tags(instances: DataFrame, salt: str) -> DataFrame:
@@ -164,7 +171,7 @@ def deidentify_all(
     if pixel_data and "has_pixel_data" in instances.columns:
         changed["has_pixel_data"] = F.lit(False)
     if "tags" in instances.columns:
-        changed["tags"] = F.map_filter("tags", lambda key, _: ~key.isin(*REMOVE_TAGS))
+        changed["tags"] = F.map_filter("tags", lambda key, _: ~key.isin(*_REMOVED_KEYS))
     changed["PatientIdentityRemoved"] = F.lit("YES")
     changed["DeidentificationMethod"] = F.lit(DEID_METHOD)
 

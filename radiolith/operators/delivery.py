@@ -109,8 +109,9 @@ STUDY = ("patient_id", "study_instance_uid")
 
 
 def manifest_id() -> Column:
-    """The manifest of a patient and study always has the same id."""
-    return F.concat(F.lit("MAN-"), F.substring(F.sha2(F.concat_ws("|", *STUDY), 256), 1, 24))
+    """The manifest of a patient and study always has the same id; lengths keep different pairs apart, NULL too."""
+    patient, study = (F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in STUDY)
+    return F.concat(F.lit("MAN-"), F.substring(F.sha2(F.concat(patient, F.lit("|"), study), 256), 1, 24))
 
 
 def manifest_headers(files: DataFrame, created_at: Column) -> DataFrame:
@@ -131,28 +132,16 @@ def manifest_files(files: DataFrame) -> DataFrame:
     return files.select(manifest_id().alias("manifest_id"), "file_path", "file_size", "checksum")
 
 
-def manifest_documents(
-    files: DataFrame, created_at: Column, files_per_part: int = 10_000, spread: int = 64
-) -> DataFrame:
+def manifest_documents(files: DataFrame, created_at: Column, parts: int) -> DataFrame:
     """Manifests with their files as an array, for consumers that want whole documents.
 
-    A study of up to ``files_per_part`` files is one document. A larger one is cut into
-    ``parts`` documents by a hash of the file path, so that no task ever holds more than
-    about that many files; together the parts are the whole study. Oversized studies are
-    found by a pre-aggregated count, and their files are joined on a salted key.
+    Every study is cut into ``parts`` documents by a hash of the file path, whatever its size; parts without a file
+    are not written. A document holds a study's files divided by ``parts``, so choose it for the largest study, or use
+    ``manifest_headers`` with ``manifest_files``, which hold no list at all.
     """
-    totals = manifest_headers(files, created_at)
-    parts_of = totals.where(F.col("total_files") > files_per_part).select(
-        *STUDY,
-        F.ceil(F.col("total_files") / F.lit(files_per_part)).cast("int").alias("split_into"),
-        F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).alias("_salt"),
-    )
-    salted = files.withColumn("_salt", F.pmod(F.xxhash64(F.lit(1), "file_path"), F.lit(spread)).cast("int"))
-    part = F.pmod(F.xxhash64("file_path"), F.coalesce("split_into", F.lit(1))).cast("int")
-    placed = salted.join(parts_of, [*STUDY, "_salt"], "left").withColumn("part", part)
-    listed = placed.groupBy(*STUDY, "part").agg(
+    part = F.conv(F.substring(F.md5(F.col("file_path").cast("binary")), 1, 4), 16, 10).cast("int") % parts
+    listed = files.groupBy(*STUDY, part.alias("part")).agg(
         F.sort_array(F.collect_list(F.struct("file_path", "file_size", "checksum"))).alias("files"),
-        F.max(F.coalesce("split_into", F.lit(1))).alias("parts"),
         F.sum("file_size").alias("part_size_bytes"),
     )
     return listed.select(
@@ -160,7 +149,7 @@ def manifest_documents(
         created_at.alias("created_at"),
         *STUDY,
         "part",
-        "parts",
+        F.lit(parts).alias("parts"),
         F.size("files").alias("part_files"),
         "part_size_bytes",
         "files",

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def list_objects(listing: DataFrame, prefix: str = "", max_keys: int | None = 1000) -> DataFrame:
-    """Objects below a prefix in key order; at most ``max_keys``, or all of them with None."""
+def list_objects(listing: DataFrame, prefix: str = "", max_keys: int | None = None) -> DataFrame:
+    """All objects below a prefix, or the first ``max_keys`` in key order."""
     found = listing.where(F.startswith(F.col("key"), F.lit(prefix))) if prefix else listing
     found = found.select("key", "size", "last_modified", "etag")
     return found if max_keys is None else found.orderBy("key").limit(max_keys)

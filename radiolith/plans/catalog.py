@@ -195,6 +195,12 @@ def src_list_objects(spark: SparkSession, sf: str) -> DataFrame:
     return listing.select("key", "size", _stamp("last_modified"), "etag")
 
 
+@register
+def src_list_objects_all(spark: SparkSession, sf: str) -> DataFrame:
+    listing = integrity.list_objects(study_view.stored_objects(spark, sf), prefix="raw/src1")
+    return listing.select("key", "size", _stamp("last_modified"), "etag")
+
+
 @register
 def src_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return objects.arrivals(study_view.arrival_events(spark, sf))
@@ -203,9 +209,9 @@ def src_arrivals(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def src_stream_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     target = shared_dir(spark, "arrivals")
-    files = jobs.arriving_files(spark, sf, suffix=".parquet")
+    pages = spark.readStream.schema(study_view.table(spark, sf, "pages").schema).parquet(f"{sf}/pages.parquet*")
     stream = (
-        files.select(keys.base_name(F.col("path")).alias("name"), "length")
+        objects.arrivals(study_view.as_arrival_events(pages))
         .writeStream.format("parquet")
         .option("path", f"{target}/out")
         .option("checkpointLocation", f"{target}/checkpoint")
@@ -213,7 +219,7 @@ def src_stream_arrivals(spark: SparkSession, sf: str) -> DataFrame:
         .start()
     )
     stream.awaitTermination()
-    return spark.read.schema("name string, length bigint").parquet(f"{target}/out")
+    return spark.read.parquet(f"{target}/out")
 
 
 @register
@@ -223,6 +229,12 @@ def src_log_events(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("event_id", _stamp("ts"), "message")
 
 
+@register
+def src_log_events_all(spark: SparkSession, sf: str) -> DataFrame:
+    found = accounting.read_log(study_view.log_events(spark, sf), "2024-01-05 00:00:00", "2024-01-20 00:00:00")
+    return found.select("event_id", _stamp("ts"), "message")
+
+
 # --- Sinks -------------------------------------------------------------------------------
 
 
@@ -495,7 +507,7 @@ def val_manifest(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
     name = F.concat(F.lit("M"), key.cast("string"))
     declared = study_view.table(spark, sf, "orders").select(
-        F.when(key % 301 != 0, name).otherwise(name).alias("manifest_id"),
+        F.when(key % 301 != 0, name).otherwise("").alias("manifest_id"),
         F.when(key % 31 == 0, "2024-01-01 10:00:00")
         .when(key % 37 == 0, "2024-13-01T10:00:00Z")
         .when(key % 2 == 0, "2024-01-01T10:00:00.123+02:00")
@@ -695,7 +707,7 @@ def agg_manifest_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def agg_manifest_documents(spark: SparkSession, sf: str) -> DataFrame:
-    documents = delivery.manifest_documents(_delivery_files(spark, sf), F.lit("2025-01-01T00:00:00Z"))
+    documents = delivery.manifest_documents(_delivery_files(spark, sf), F.lit("2025-01-01T00:00:00Z"), parts=3)
     return documents.select(
         "manifest_id",
         "part",
@@ -709,14 +721,18 @@ def agg_manifest_documents(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def agg_metric_rollup(spark: SparkSession, sf: str) -> DataFrame:
     rolled = accounting.metric_rollup(study_view.metric_points(spark, sf), "1 hour")
-    return rolled.select(_stamp("period_start"), _stamp("period_end"), "namespace", "name", "total", "average", "maximum", "points")
+    total = F.round("total", 6)
+    return rolled.select(
+        _stamp("period_start"), _stamp("period_end"), "namespace", "name", total.alias("total"),
+        (total / F.col("points")).alias("average"), "maximum", "points",
+    )
 
 
 @register
 def agg_failure_alarms(spark: SparkSession, sf: str) -> DataFrame:
     failures = study_view.metric_points(spark, sf).where(F.col("name") == "error")
     raised = accounting.alarms(accounting.metric_rollup(failures, "5 minutes"))
-    return raised.select(_stamp("period_start"), "name", "total", "points")
+    return raised.select(_stamp("period_start"), "name", F.round("total", 6).alias("total"), "points")
 
 
 @register
@@ -729,10 +745,22 @@ def agg_phi_totals(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def top_failed_operations(spark: SparkSession, sf: str) -> DataFrame:
+    found = accounting.failed_operations(study_view.log_events(spark, sf), limit=100)
+    return found.select("event_id", _stamp("ts"), "operation", "status", "message")
+
+
+@register
+def top_failed_operations_all(spark: SparkSession, sf: str) -> DataFrame:
     found = accounting.failed_operations(study_view.log_events(spark, sf))
     return found.select("event_id", _stamp("ts"), "operation", "status", "message")
 
 
+@register
+def run_list_all(spark: SparkSession, sf: str) -> DataFrame:
+    found = accounting.list_runs(study_view.runs(spark, sf), "arn:machine:imaging", "SUCCEEDED")
+    return found.select("execution_arn", "name", "status", _stamp("start_date"), _stamp("stop_date"))
+
+
 @register
 def run_list(spark: SparkSession, sf: str) -> DataFrame:
     found = accounting.list_runs(study_view.runs(spark, sf), "arn:machine:imaging", "SUCCEEDED", 100)
@@ -895,4 +923,4 @@ def stream_failure_alarms(spark: SparkSession, sf: str) -> DataFrame:
     )
     jobs.start_alarms(points, f"{target}/out", f"{target}/checkpoint").awaitTermination()
     written = spark.read.schema("period_start timestamp, period_end timestamp, name string, total double, points bigint")
-    return written.parquet(f"{target}/out").select(_stamp("period_start"), "name", "total", "points")
+    return written.parquet(f"{target}/out").select(_stamp("period_start"), "name", F.round("total", 6).alias("total"), "points")

@@ -289,7 +289,7 @@ _STORED = """stored AS (SELECT doc_id, 'raw/' || source || '/doc-' || doc_id ||
     DATE '2024-01-01' + (doc_id % 400)::INTEGER AS modified, md5(text) AS etag, source,
     CASE doc_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'application/dicom' ELSE 'binary/octet-stream' END AS content_type
     FROM documents)"""
-_REQUESTED = """requested AS (SELECT DISTINCT 'raw/src' || ((event_id % 1500) % 20) || '/doc-' || (event_id % 1500) || '.dcm'
+_REQUESTED = """requested AS (SELECT DISTINCT 'raw/src' || ((event_id // 2) % 20) || '/doc-' || (event_id // 2) || '.dcm'
     AS object_key FROM events)"""
 _LOG = """log AS (SELECT event_id, ts, event_type || ' ' || props AS message, event_type AS operation,
     CASE WHEN event_type = 'error' THEN 'error' WHEN event_id % 29 = 0 THEN 'failed' ELSE 'completed' END AS status,
@@ -331,7 +331,8 @@ _RUNS = f"""runs AS (SELECT o_orderkey, o_custkey, o_orderstatus, 'run-' || o_or
 _FILES = """files AS (SELECT 'P' || o_custkey AS patient_id, '1.2.840.' || o_orderkey AS study_instance_uid,
     'raw/study-' || l_orderkey || '/' || l_linenumber || '-' || l_partkey || '-' || l_suppkey || '.dcm' AS file_path,
     trunc(l_extendedprice)::BIGINT AS file_size FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
-_MANIFEST_ID = "'MAN-' || sha256(patient_id || '|' || study_instance_uid)[1:24]"
+_MANIFEST_ID = """'MAN-' || sha256(coalesce(length(patient_id) || ':' || patient_id, '-') || '|'
+    || coalesce(length(study_instance_uid) || ':' || study_instance_uid, '-'))[1:24]"""
 _STAGES = (
     *FAILING,
     f"ing AS (SELECT path AS key, CASE WHEN {_codes(RECORD)} = '' THEN 'success' ELSE 'failed' END AS status FROM inst)",
@@ -552,7 +553,7 @@ ORACLE: dict[str, str] = {
     "val_cross_model": _over(_verdict(_CROSS, "mixed"), *_MIXED),
     "val_nested_record": _over(_verdict(_NESTED_RULES, "mixed"), *_MIXED),
     "val_csv_record": f"WITH {_CSV} " + _verdict(_CSV_RULES, "records", "record_id"),
-    "val_manifest": """WITH declared AS (SELECT 'M' || o_orderkey AS manifest_id,
+    "val_manifest": """WITH declared AS (SELECT CASE WHEN o_orderkey % 301 = 0 THEN '' ELSE 'M' || o_orderkey END AS manifest_id,
         CASE WHEN o_orderkey % 31 = 0 OR o_orderkey % 37 = 0 THEN false ELSE true END AS dated,
         o_orderkey % 41 = 0 AS no_patient, o_orderkey % 43 = 0 AS no_study, o_orderkey % 9 - 1 AS total_files,
         trunc(o_totalprice)::BIGINT - CASE WHEN o_orderkey % 47 = 0 THEN 1000000000 ELSE 0 END AS total_size FROM orders),
@@ -560,7 +561,7 @@ ORACLE: dict[str, str] = {
         bool_or(trunc(l_extendedprice)::BIGINT - CASE WHEN l_partkey % 409 = 0 THEN 10000000 ELSE 0 END < 0) AS f2,
         bool_or(l_partkey % 419 = 0) AS f3 FROM lineitem GROUP BY l_orderkey),
         judged AS (SELECT manifest_id, coalesce(n, 0) AS actual_files, concat_ws(',',
-        CASE WHEN no_patient THEN 'D2' END, CASE WHEN no_study THEN 'D3' END, CASE WHEN NOT dated THEN 'D4' END,
+        CASE WHEN manifest_id = '' THEN 'D1' END, CASE WHEN no_patient THEN 'D2' END, CASE WHEN no_study THEN 'D3' END, CASE WHEN NOT dated THEN 'D4' END,
         CASE WHEN total_files < 0 THEN 'D5' END, CASE WHEN total_size < 0 THEN 'D6' END,
         CASE WHEN f1 THEN 'F1' END, CASE WHEN f2 THEN 'F2' END, CASE WHEN f3 THEN 'F3' END,
         CASE WHEN coalesce(n, 0) <> total_files THEN 'D7' END) AS codes
@@ -599,9 +600,9 @@ ORACLE: dict[str, str] = {
     "join_object_metadata": f"""WITH {_STORED}, {_REQUESTED} SELECT key, size,
         strftime(modified, {_SECONDS}) AS last_modified, etag, coalesce(content_type, 'unknown') AS content_type, source
         FROM requested JOIN stored ON key = object_key""",
-    "join_verify_transfer": f"""WITH {_STORED}, local AS (SELECT CASE WHEN doc_id % 13 = 0 THEN 'stray/' ELSE '' END
+    "join_verify_transfer": f"""WITH {_STORED}, local AS (SELECT CASE WHEN doc_id % 13 = 0 OR doc_id % 11 = 0 THEN 'stray/' ELSE '' END
         || 'raw/' || source || '/doc-' || doc_id || '.dcm' AS key,
-        md5(CASE WHEN doc_id % 7 = 0 THEN text || chr(10) ELSE text END) AS checksum FROM documents WHERE doc_id % 11 <> 0)
+        md5(CASE WHEN doc_id % 7 = 0 THEN text || chr(10) ELSE text END) AS checksum FROM documents)
         SELECT key, size::VARCHAR AS size, checksum, etag, coalesce(checksum = etag, false) AS checksum_verified
         FROM local FULL JOIN stored USING (key)""",
     "join_batch_grants": f"""WITH {_STORED}, {_REQUESTED} SELECT object_key,
@@ -648,9 +649,10 @@ ORACLE: dict[str, str] = {
         FROM files GROUP BY patient_id, study_instance_uid""",
     "agg_manifest_files": f"""WITH {_FILES} SELECT {_MANIFEST_ID} AS manifest_id, file_path, file_size,
         md5(file_path) AS checksum FROM files""",
-    "agg_manifest_documents": f"""WITH {_FILES} SELECT {_MANIFEST_ID} AS manifest_id, 0 AS part, 1 AS parts,
-        count(*) AS part_files, sum(file_size)::BIGINT AS part_size_bytes,
-        string_agg(file_path, ',' ORDER BY file_path) AS paths FROM files GROUP BY patient_id, study_instance_uid""",
+    "agg_manifest_documents": f"""WITH {_FILES} SELECT {_MANIFEST_ID} AS manifest_id,
+        ('0x' || md5(file_path)[1:4])::INTEGER % 3 AS part, 3 AS parts, count(*) AS part_files, sum(file_size)::BIGINT AS part_size_bytes,
+        string_agg(file_path, ',' ORDER BY file_path) AS paths FROM files
+        GROUP BY patient_id, study_instance_uid, ('0x' || md5(file_path)[1:4])::INTEGER % 3""",
     "agg_metric_rollup": f"""SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), {_SECONDS}) AS period_start,
         strftime(time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR, {_SECONDS}) AS period_end,
         'MedicalImaging/Pipeline' AS namespace, event_type AS name, sum(value::DECIMAL(28, 6))::DOUBLE AS total,
@@ -745,3 +747,7 @@ ORACLE: dict[str, str] = {
             <= (SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 10 MINUTE""",
 }
 
+#: The capped reports without their limit, and arrivals as a stream.
+for _name in ("src_list_objects", "src_log_events", "top_failed_operations", "run_list"):
+    ORACLE[f"{_name}_all"] = ORACLE[_name][: ORACLE[_name].rindex("ORDER BY")]
+ORACLE["src_stream_arrivals"] = ORACLE["src_arrivals"]

@@ -38,7 +38,11 @@ def build_session(app_name: str = "radiolith", master: str | None = None, **conf
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (a local test) falls back to a temporary folder.
+    Only a local session, where driver and executors are one machine, may leave that unset.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/radiolith-{purpose}-{uuid.uuid4().hex}"

@@ -28,8 +28,10 @@ def read_csv(
     delimiter: str = ",",
     encoding: str = "utf-8",
     mode: str = "PERMISSIVE",
+    multi_line: bool = True,
 ) -> DataFrame:
-    """CSV with a header row; blank cells are NULL."""
+    """CSV with a header row; blank cells are NULL. Quoted cells may hold line breaks, so a file is one task;
+    where they do not, ``multi_line=False`` lets Spark split files."""
     return (
         spark.read.schema(_with_corrupt(schema))
         .option("header", "true")
@@ -38,6 +40,7 @@ def read_csv(
         .option("mode", mode)
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("enforceSchema", "false")
+        .option("multiLine", str(multi_line).lower())
         .csv(path)
     )
 

@@ -164,16 +164,6 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_instances(lines, studies, patients)
 
 
-def _idle_cores(scan: DataFrame) -> int:
-    """The number of cores if a scan leaves some of them idle, else 0.
-
-    A table of a few files with one row group each is read by as many tasks, however much
-    is then computed per row. Tables with at least a split per core, so all large ones, give 0.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return cores if not scan.isStreaming and scan.rdd.getNumPartitions() < cores else 0
-
-
 def as_instances(lines: DataFrame, studies: DataFrame, patients: DataFrame) -> DataFrame:
     """``instances`` over given (batch or streaming) lines.
 
@@ -187,9 +177,6 @@ def as_instances(lines: DataFrame, studies: DataFrame, patients: DataFrame) -> D
     columns += [made[name].alias(name) for name in ("PixelSpacing", "has_pixel_data", "tags", "private_tags")]
     dated = studies.join(patients, F.col("o_custkey") == F.col("c_custkey"))
     joined = lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
-    cores = _idle_cores(lines)
-    if cores:
-        joined = joined.repartition(cores, "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return joined.select(*columns)
 
 
@@ -261,7 +248,7 @@ def stored_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requested_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys asked for, with repeats and with keys that do not exist: one per event."""
-    wanted = F.col("event_id") % 1500
+    wanted = F.floor(F.col("event_id") / 2)
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("raw/src"), _text(wanted % 20), F.lit("/doc-"), _text(wanted), F.lit(".dcm")).alias("object_key")
     )
@@ -273,16 +260,19 @@ def local_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.concat(F.lit("raw/"), F.col("source"), F.lit("/doc-"), _text(doc), F.lit(".dcm"))
     return (
         table(spark, sf_dir, "documents")
-        .where(doc % 11 != 0)
         .select(
-            F.when(doc % 13 == 0, F.concat(F.lit("stray/"), key)).otherwise(key).alias("key"),
+            F.when((doc % 13 == 0) | (doc % 11 == 0), F.concat(F.lit("stray/"), key)).otherwise(key).alias("key"),
             F.md5(F.when(doc % 7 == 0, F.concat("text", F.lit("\n"))).otherwise(F.col("text"))).alias("checksum"),
         )
     )
 
 
 def arrival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arrival notifications as JSON text, one per page, each with two records."""
+    return as_arrival_events(table(spark, sf_dir, "pages"))
+
+
+def as_arrival_events(pages: DataFrame) -> DataFrame:
+    """Arrival notifications as JSON text, one per page (batch or streaming), each with two records."""
     key = F.concat(
         F.lit("in+box/"), F.url_encode(F.col("url")), F.when(F.col("page_id") % 3 != 0, ".dcm").otherwise(".txt")
     )
@@ -298,7 +288,7 @@ def arrival_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     second = F.concat(F.lit("second/"), _text(F.col("page_id")), F.lit("%20a.dcm"))
     body = F.to_json(F.struct(F.array(record(key), record(second)).alias("Records")))
-    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("event_id"), body.alias("body"))
+    return pages.select(F.col("page_id").alias("event_id"), body.alias("body"))
 
 
 def log_events(spark: SparkSession, sf_dir: str) -> DataFrame:

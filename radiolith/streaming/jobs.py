@@ -49,12 +49,12 @@ def failure_alarms(points: DataFrame, period: str = "5 minutes", lateness: str =
     summed = (
         points.withWatermark("ts", lateness)
         .groupBy(F.window("ts", period).alias("w"), "name")
-        .agg(F.sum(F.col("value").cast("decimal(28,6)")).alias("exact"), F.count("*").alias("points"))
+        .agg(F.sum("value").alias("total"), F.count("*").alias("points"))
         .select(
             F.col("w.start").alias("period_start"),
             F.col("w.end").alias("period_end"),
             "name",
-            F.col("exact").cast("double").alias("total"),
+            "total",
             "points",
         )
     )

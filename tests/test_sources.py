@@ -3,9 +3,10 @@
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from radiolith.functions import keys
-from radiolith.operators import delivery, extract, integrity, merge, structural
+from radiolith.operators import accounting, deid, delivery, extract, integrity, merge, structural
 from radiolith.schemas import INSTANCES
 from radiolith.sources import objects, sidecar
 
@@ -126,7 +127,7 @@ def test_verify_transfer_is_null_safe(spark):
     assert found == {"a": True, "b": False, "c": False, "d": False}
 
 
-def test_large_study_is_cut_into_parts(spark):
+def test_studies_are_cut_into_parts(spark):
     files = spark.range(5_000).select(
         F.lit("P").alias("patient_id"),
         F.when(F.col("id") < 4_000, "1.big").otherwise(F.concat(F.lit("1."), (F.col("id") % 100).cast("string"))).alias("study_instance_uid"),
@@ -134,13 +135,34 @@ def test_large_study_is_cut_into_parts(spark):
         F.lit(1).cast("long").alias("file_size"),
         F.md5(F.col("id").cast("string")).alias("checksum"),
     )
-    documents = delivery.manifest_documents(files, F.lit("2025-01-01T00:00:00Z"), files_per_part=100, spread=8)
-    rows = documents.collect()
+    rows = delivery.manifest_documents(files, F.lit("2025-01-01T00:00:00Z"), parts=40).collect()
     big = [r for r in rows if r["study_instance_uid"] == "1.big"]
-    assert len(big) == 40 and max(r["part_files"] for r in big) < 200 and {r["parts"] for r in big} == {40}
+    assert len(big) == 40 and max(r["part_files"] for r in big) < 200 and {r["parts"] for r in rows} == {40}
     paths = [f["file_path"] for r in rows for f in r["files"]]
     assert len(paths) == len(set(paths)) == 5_000
-    assert all(r["parts"] == 1 for r in rows if r["study_instance_uid"] != "1.big")
+
+
+def test_manifest_ids_keep_pairs_apart(spark):
+    pairs = [("a|b", "c"), ("a", "b|c"), (None, "a"), ("a", None), ("", "a")]
+    frame = spark.createDataFrame(pairs, "patient_id string, study_instance_uid string")
+    assert frame.select(delivery.manifest_id().alias("m")).distinct().count() == len(pairs)
+
+
+def test_small_values_raise_an_alarm(spark):
+    points = spark.sql("SELECT timestamp '2024-01-01 00:00:00' AS ts, 'n' AS namespace, 'error' AS name, 4e-7D AS value FROM range(2)")
+    raised = accounting.alarms(accounting.metric_rollup(points)).collect()
+    assert [r["total"] for r in raised] == [8e-7]
+
+
+def test_quoted_line_break_is_one_record(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('patient_id,study_date,modality,status\n"P\n1",2024-01-01,CT,pending\n')
+    rows = sidecar.read_csv(spark, str(tmp_path), T.StructType([T.StructField(n, T.StringType()) for n in ("patient_id", "study_date", "modality", "status")])).collect()
+    assert [r["patient_id"] for r in rows] == ["P\n1"]
+
+
+def test_tags_keyed_by_number_are_removed(spark):
+    frame = spark.sql("SELECT map('0010,0010', 'Doe', 'PatientName', 'Doe', '0018,0015', 'CHEST') AS tags")
+    assert deid.remove_tags(frame).first()["tags"] == {"0018,0015": "CHEST"}
 
 
 def test_secure_grant_can_skip_the_check(spark):
