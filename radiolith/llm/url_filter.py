@@ -12,8 +12,8 @@ on the key and a salt, so that a key which most hosts share spreads over ranges;
 copied to each range that its interval meets, which adds at most its nesting depth per range.
 
 Defined cases: a null url, or one without ``://``, has empty host and path; null or repeated ids pass
-through row by row; of rules with one host and path ``block`` wins; null hosts and paths of rules count as
-empty; an empty host fits urls without host alone; empty tables give no rows or no rule; columns other than id
+through row by row; of rules with one host and path ``block`` wins; a null path of a rule is empty; rules
+without host or action are ignored; empty tables give no rows or no rule; columns other than id
 and url are not read.
 """
 
@@ -94,7 +94,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
 
     empty = F.lit("")
     host, path = F.translate(F.coalesce("host", empty), UPPER, LOWER), F.coalesce("path", empty)
-    distinct = rules.select("action", host.alias("host"), path.alias("path")).groupBy("host", "path").agg(F.max("action").alias("action"))
+    named = rules.where("action is not null and host <> ''")
+    distinct = named.select("action", host.alias("host"), path.alias("path")).groupBy("host", "path").agg(F.max("action").alias("action"))
     opened = distinct.select(
         F.concat(F.array_join(_reversed(F.col("host")), "."), F.lit("/"), F.col("path")).alias("key"),
         F.concat("host", "path").alias("rule"),
