@@ -36,7 +36,9 @@ MARK = "▁"
 #: Where the public tokenizer files are; see encode's ``model_path``.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK = 300_000
-_CACHED = 150_000
+_CACHED = 200_000
+#: Edges that are Python numbers at a time.
+_EDGES = 1 << 15
 
 
 class Codec:
@@ -78,15 +80,15 @@ class Codec:
         for row, piece in zip(low, self.pieces, strict=True):
             row[: len(piece)] = [self.codes[c] for c in piece]
         self.low, self.high = self._keys(low), self._keys(np.where(low == 0, 0xFFFF, low).astype(">u2"))
-        self.piece_ids = np.array([self.ids[p] for p in self.pieces])
-        self.lengths = np.array([len(p) for p in self.pieces])
+        self.piece_ids = np.array([self.ids[p] for p in self.pieces], np.int32)
+        self.lengths = np.array([len(p) for p in self.pieces], np.int32)
         splits = all(MARK not in p.lstrip(MARK) for p in self.pieces)
         alone = "".join(re.escape(c) for c in "\n\t\r" if c not in self.codes)
         cut = MARK if splits else ""
         self.segment = re.compile(
             (f"{MARK}+[^{cut}{alone}]*|" if splits else "") + f"[^{cut}{alone}]+" + (f"|[{alone}]" if alone else "")
         ) if cut or alone else re.compile(r"(?s).+")
-        self.agree: dict[tuple[int, int], bool] = {}
+        self.agree: dict[int, bool] = {}
         self.fresh: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -122,32 +124,34 @@ class Codec:
         return self.strings[piece] if piece >= 0 else chr(-piece - 1)
 
     def _agrees(self, left: int, right: int) -> bool:
-        known = self.agree.get((left, right))
-        if known is None:
-            if len(self.agree) > 1_000_000:
-                self.agree.clear()
-            a, b = self._string(left), self._string(right)
-            known = self.agree[left, right] = self.merge(a + b) == [a, b]
+        """Whether the two pieces stay apart; kept under one number, which is smaller than a pair."""
+        if len(self.agree) > 400_000:
+            self.agree.clear()
+        a, b = self._string(left), self._string(right)
+        known = self.agree[(left << 22) + right] = self.merge(a + b) == [a, b]
         return known
 
-    def edges(self, text: str) -> tuple[list[int], list[int], list[int]]:
+    def edges(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ends, starts and pieces of all occurrences in the joined text, sorted by end."""
         codes = np.array([self.codes.get(c, 0 if c == "\0" else 1) for c in text], ">u2")
         padded = np.concatenate((codes, np.zeros(self.longest, ">u2"))).astype(">u2")
         keys = self._keys(np.lib.stride_tricks.sliding_window_view(padded, self.longest)[: len(codes)])
-        suffixes = np.argsort(keys, kind="stable")
+        suffixes = np.argsort(keys, kind="stable").astype(np.int32)
         sorted_keys = keys[suffixes]
         first = np.searchsorted(sorted_keys, self.low, "left")
         count = np.searchsorted(sorted_keys, self.high, "right") - first
-        which = np.repeat(np.arange(len(count)), count)
-        place = np.arange(len(which)) - np.repeat(np.cumsum(count) - count, count) + first[which]
-        starts, ends, pieces = suffixes[place], suffixes[place] + self.lengths[which], self.piece_ids[which]
-        lone = np.array([i for i, c in enumerate(text) if c not in self.ids and c != "\0"], np.int64)
+        del keys, sorted_keys
+        which = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        place = np.arange(len(which), dtype=np.int32) + (first - np.cumsum(count) + count).astype(np.int32)[which]
+        starts, pieces = suffixes[place], self.piece_ids[which]
+        ends = starts + self.lengths[which]
+        del which, place
+        lone = np.array([i for i, c in enumerate(text) if c not in self.ids and c != "\0"], np.int32)
         starts = np.concatenate((starts, lone))
         ends = np.concatenate((ends, lone + 1))
-        pieces = np.concatenate((pieces, [-ord(text[i]) - 1 for i in lone.tolist()])).astype(np.int64)
+        pieces = np.concatenate((pieces, np.array([-ord(text[i]) - 1 for i in lone.tolist()], np.int32)))
         order = np.argsort(ends, kind="stable")
-        return ends[order].tolist(), starts[order].tolist(), pieces[order].tolist()
+        return ends[order], starts[order], pieces[order]
 
     def _encode_segments(self, segments: list[str]) -> None:
         # A NUL in a text is a character of no piece, and so is its stand-in.
@@ -156,18 +160,19 @@ class Codec:
         last: list[int | None] = [None] * (len(joined) + 1)
         back = [0] * (len(joined) + 1)
         agree, check = self.agree, self._agrees
-        for end, start, piece in zip(ends, starts, pieces, strict=True):
-            before = last[start]
-            if before is None:
-                # A path begins at a segment's start only.
-                if start and joined[start - 1] != "\0":
-                    continue
-            else:
-                known = agree.get((before, piece))
-                if not (check(before, piece) if known is None else known):
-                    continue
-            last[end] = piece
-            back[end] = start
+        for part in range(0, len(ends), _EDGES):
+            for end, start, piece in zip(*(a[part : part + _EDGES].tolist() for a in (ends, starts, pieces)), strict=True):
+                before = last[start]
+                if before is None:
+                    # A path begins at a segment's start only.
+                    if start and joined[start - 1] != "\0":
+                        continue
+                else:
+                    known = agree.get((before << 22) + piece)
+                    if not (check(before, piece) if known is None else known):
+                        continue
+                last[end] = piece
+                back[end] = start
         at = 0
         for segment in segments:
             end = at + len(segment)
