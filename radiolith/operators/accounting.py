@@ -53,30 +53,61 @@ def pipeline_results(ingestion: DataFrame, validation: DataFrame, deidentificati
     """The three stage outcomes of each ingested object side by side, and the overall status.
 
     Stage tables have ``key``, ``status`` and ``attempt``. They are stacked and aggregated
-    by key instead of joined: each table is shuffled once, repeats of a key combine before
-    the shuffle, and the last attempt counts. A run succeeds where every stage did.
+    by key instead of joined, see ``stacked_results``.
     """
     stages = {"ingestion": ingestion, "validation": validation, "deidentification": deidentification}
     stacked = None
     for name, stage in stages.items():
         rows = stage.select("key", "status", "attempt", F.lit(name).alias("stage"))
         stacked = rows if stacked is None else stacked.unionByName(rows)
-    last = {
-        name: F.max(F.when(F.col("stage") == name, F.struct("attempt", "status"))).alias(name) for name in stages
-    }
-    outcome = stacked.groupBy("key").agg(*last.values()).where(F.col("ingestion").isNotNull())
-    success = (
-        F.col("ingestion.status").eqNullSafe("success")
-        & F.col("validation.status").eqNullSafe("valid")
-        & F.col("deidentification.status").eqNullSafe("success")
-    )
+    return stacked_results(stacked)
+
+
+#: The good and the bad status of each stage.
+STAGE_STATUS = {
+    "ingestion": ("success", "failed"),
+    "validation": ("valid", "invalid"),
+    "deidentification": ("success", "failed"),
+}
+
+
+def stacked_results(stacked: DataFrame) -> DataFrame:
+    """As ``pipeline_results``, from one table with ``key``, ``stage``, ``status`` and ``attempt``.
+
+    Repeats of a key combine before the one shuffle, and the last attempt counts (of equal
+    ones, the good one). Attempt and status travel as one whole number, so the aggregation
+    hashes instead of sorting; any status but the stage's good one counts as its bad one.
+    A run succeeds where every stage did.
+    """
+    last = []
+    for name, (good, _) in STAGE_STATUS.items():
+        code = F.col("attempt").cast("bigint") * 2 + F.col("status").eqNullSafe(good).cast("int")
+        last.append(F.max(F.when(F.col("stage") == name, code)).alias(name))
+    outcome = stacked.groupBy("key").agg(*last).where(F.col("ingestion").isNotNull())
+    passed = {name: F.pmod(name, F.lit(2)) == 1 for name in STAGE_STATUS}
+    success = F.coalesce(passed["ingestion"] & passed["validation"] & passed["deidentification"], F.lit(False))
     return outcome.select(
         "key",
-        *[F.col(f"{name}.status").alias(f"{name}_status") for name in stages],
+        *[
+            F.when(passed[name], good).when(~passed[name], bad).alias(f"{name}_status")
+            for name, (good, bad) in STAGE_STATUS.items()
+        ],
         F.when(success, "SUCCESS").otherwise("FAILED").alias("status"),
     )
 
 
+def stage_outcomes(results: DataFrame) -> DataFrame:
+    """``handler, outcome`` of every stage that an object of ``pipeline_results`` went through, and of the whole run."""
+
+    def outcome(handler: str, column: str, good: str) -> Column:
+        shown = F.when(F.col(column) == good, "success").when(F.col(column) != good, "failure")
+        return F.struct(F.lit(handler).alias("handler"), shown.alias("outcome"))
+
+    stages = [outcome(name.capitalize(), f"{name}_status", good) for name, (good, _) in STAGE_STATUS.items()]
+    rows = results.select(F.explode(F.array(*stages, outcome("Pipeline", "status", "SUCCESS"))).alias("o"))
+    return rows.select("o.handler", "o.outcome").where("outcome IS NOT NULL")
+
+
 def metric_rollup(points: DataFrame, period: str = "5 minutes") -> DataFrame:
     """Sum, average, maximum and number of points per metric and period.
 

@@ -82,8 +82,9 @@ def batch_grants(
     requests: DataFrame, listing: DataFrame, bucket: str, **options
 ) -> tuple[DataFrame, DataFrame]:
     """Grants for the distinct requested keys that exist, and the keys that were refused."""
-    granted = download_grants(integrity.existing_keys(requests, listing), bucket, **options)
-    return granted, integrity.missing_keys(requests, listing)
+    checked = integrity.check_exists(requests, listing)
+    granted = download_grants(checked.where("object_exists").select("object_key"), bucket, **options)
+    return granted, checked.where("NOT object_exists").select("object_key")
 
 
 def secure_grants(

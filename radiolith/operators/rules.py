@@ -270,9 +270,9 @@ def with_error_details(judged: DataFrame) -> DataFrame:
     return judged.withColumn("errors", F.when(F.col("is_valid"), empty).otherwise(spelled))
 
 
-def validate(table: DataFrame, *families: Sequence[Rule]) -> DataFrame:
+def validate(table: DataFrame, *families: Sequence[Rule], names: dict[str, str] | None = None) -> DataFrame:
     """A table with the verdict of the given rule families, applied to every row."""
-    fields = Fields(table)
+    fields = Fields(table, names=names)
     return with_verdict(table, [flag for family in families for flag in broken_flags(family, fields)], fields)
 
 
@@ -302,9 +302,9 @@ def validate_metadata(metadata: DataFrame, names: dict[str, str] | None = None)
     return with_verdict(metadata, flags, fields)
 
 
-def validate_side_metadata(metadata: DataFrame) -> DataFrame:
+def validate_side_metadata(metadata: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
     """Verdict over metadata from other sources: patient, study, series and instance only."""
-    return validate(metadata, PATIENT, STUDY, SERIES, INSTANCE)
+    return validate(metadata, PATIENT, STUDY, SERIES, INSTANCE, names=names)
 
 
 def validate_records(records: DataFrame) -> DataFrame:
@@ -339,13 +339,12 @@ def validate_nested_manifests(manifests: DataFrame) -> DataFrame:
     fields, files = Fields(manifests), F.col("files")
     flags = broken_flags(MANIFEST, fields)
     flags.append((~true_or_false(F.size(files) == fields.number("total_files")), "D7"))
-    wrong_file = F.exists(
-        files,
-        lambda x: (F.coalesce(F.char_length(x["file_path"]), F.lit(0)) < 1)
-        | ~F.coalesce(x["file_size"] >= 0, F.lit(False))
-        | ~F.coalesce(F.char_length(x["checksum"]).between(32, 64), F.lit(False)),
-    )
-    flags.append((true_or_false(wrong_file), "F1-F3"))
+    wrong_file = {
+        "F1": F.exists(files, lambda x: ~true_or_false(F.char_length(x["file_path"]) >= 1)),
+        "F2": F.exists(files, lambda x: ~true_or_false(x["file_size"] >= 0)),
+        "F3": F.exists(files, lambda x: ~true_or_false(F.char_length(x["checksum"]).between(32, 64))),
+    }
+    flags += [(true_or_false(wrong), code) for code, wrong in wrong_file.items()]
     return with_verdict(manifests, flags, fields)
 
 

@@ -549,8 +549,7 @@ def val_side_metadata(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def val_split(spark: SparkSession, sf: str) -> DataFrame:
-    valid, quarantine = rules.split(rules.validate_side_metadata(_metadata(spark, sf)))
-    return rules.responses(valid, ["path"]).unionByName(rules.responses(quarantine, ["path"]))
+    return rules.responses(rules.validate_side_metadata(_metadata(spark, sf)), ["path"])
 
 
 # --- Joins ---------------------------------------------------------------------------------
@@ -560,8 +559,9 @@ def val_split(spark: SparkSession, sf: str) -> DataFrame:
 def join_merge_metadata(spark: SparkSession, sf: str) -> DataFrame:
     primary = study_view.csv_records(spark, sf).select("record_id", "patient_id", "modality", "status")
     orders = study_view.table(spark, sf, "orders")
-    first = orders.where(F.col("o_orderkey") % 2 == 0).select(
-        F.col("o_orderkey").alias("record_id"),
+    first = orders.select(
+        # Odd orders carry a key that no record has.
+        F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).otherwise(-F.col("o_orderkey")).alias("record_id"),
         F.when(F.col("o_orderkey") % 4 == 0, "XR").alias("modality"),
         F.col("o_orderpriority").alias("priority"),
     )
@@ -631,23 +631,9 @@ def join_secure_grants(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _stages(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    def stage(rows: DataFrame, success: Column, good: str, bad: str) -> DataFrame:
-        return rows.select(
-            F.col("path").alias("key"), F.when(success, good).otherwise(bad).alias("status"), F.lit(1).alias("attempt")
-        )
-
-    metadata = _metadata(spark, sf)
-    ingestion = stage(rules.validate_metadata(metadata), F.col("is_valid"), "success", "failed")
-    side = rules.validate_side_metadata(metadata.where(F.col("modality") != "US"))
-    validation = stage(side, F.col("is_valid"), "valid", "invalid")
-    treated = deid.deidentify_all(_instances(spark, sf).where(F.col("Modality") != "NM"), SALT)
-    return ingestion, validation, stage(treated, F.col("failure").isNull(), "success", "failed")
-
-
 @register
 def join_pipeline_results(spark: SparkSession, sf: str) -> DataFrame:
-    return accounting.pipeline_results(*_stages(spark, sf))
+    return accounting.stacked_results(pipeline.stage_rows(_instances(spark, sf), SALT))
 
 
 # --- Aggregations ------------------------------------------------------------------------
@@ -670,20 +656,8 @@ def agg_deid_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def agg_pipeline_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    ingestion, validation, treated = _stages(spark, sf)
-    overall = accounting.pipeline_results(ingestion, validation, treated)
-    stages = (
-        ("Ingestion", ingestion, "success"),
-        ("Validation", validation, "valid"),
-        ("Deidentification", treated, "success"),
-        ("Pipeline", overall, "SUCCESS"),
-    )
-    stacked = None
-    for handler, rows, good in stages:
-        outcome = F.when(F.col("status") == good, "success").otherwise("failure")
-        part = rows.select(F.lit(handler).alias("handler"), outcome.alias("outcome"))
-        stacked = part if stacked is None else stacked.unionByName(part)
-    return accounting.outcome_counts(stacked)
+    results = accounting.stacked_results(pipeline.stage_rows(_instances(spark, sf), SALT))
+    return accounting.outcome_counts(accounting.stage_outcomes(results))
 
 
 @register
@@ -922,5 +896,5 @@ def stream_failure_alarms(spark: SparkSession, sf: str) -> DataFrame:
         F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name"), "value"
     )
     jobs.start_alarms(points, f"{target}/out", f"{target}/checkpoint").awaitTermination()
-    written = spark.read.schema("period_start timestamp, period_end timestamp, name string, total double, points bigint")
-    return written.parquet(f"{target}/out").select(_stamp("period_start"), "name", F.round("total", 6).alias("total"), "points")
+    raised = jobs.raised_alarms(spark, f"{target}/out")
+    return raised.select(_stamp("period_start"), "name", F.round("total", 6).alias("total"), "points")

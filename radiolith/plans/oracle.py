@@ -337,9 +337,9 @@ _STAGES = (
     *FAILING,
     f"ing AS (SELECT path AS key, CASE WHEN {_codes(RECORD)} = '' THEN 'success' ELSE 'failed' END AS status FROM inst)",
     f"""val AS (SELECT path AS key, CASE WHEN {_codes(SIDE)} = '' THEN 'valid' ELSE 'invalid' END AS status
-        FROM inst WHERE Modality <> 'US')""",
+        FROM inst)""",
     """de AS (SELECT path AS key, CASE WHEN failure IS NULL THEN 'success' ELSE 'failed' END AS status
-        FROM treated WHERE Modality <> 'NM')""",
+        FROM treated)""",
     """overall AS (SELECT key, i AS ingestion_status, v AS validation_status, d AS deidentification_status,
         CASE WHEN i = 'success' AND v = 'valid' AND d = 'success' THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM (
         SELECT key, max(i.status) AS i, max(v.status) AS v, max(d.status) AS d
@@ -743,8 +743,7 @@ ORACLE: dict[str, str] = {
     "stream_failure_alarms": f"""SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), {_SECONDS}) AS period_start,
         event_type AS name, sum(value::DECIMAL(28, 6))::DOUBLE AS total, count(*) AS points
         FROM events WHERE event_type = 'error' GROUP BY time_bucket(INTERVAL 5 MINUTE, ts), event_type
-        HAVING sum(value) > 0 AND time_bucket(INTERVAL 5 MINUTE, ts) + INTERVAL 5 MINUTE
-            <= (SELECT max(ts) FROM events WHERE event_type = 'error') - INTERVAL 10 MINUTE""",
+        HAVING sum(value) > 0""",
 }
 
 #: The capped reports without their limit, and arrivals as a stream.

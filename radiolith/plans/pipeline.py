@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from radiolith.operators.accounting import STAGE_STATUS
 from radiolith.operators.deid import deidentify_all
 from radiolith.operators.extract import BASE_FIELDS, CT_FIELDS, MR_FIELDS
-from radiolith.operators.rules import validate_metadata
+from radiolith.operators.rules import validate_metadata, validate_side_metadata
 from radiolith.sources.sinks import append, metric_rows
 
 DELIVERED, QUARANTINED, FAILED = "delivered", "quarantined", "failed"
@@ -42,6 +43,21 @@ def routed(instances: DataFrame, salt: str, **options) -> DataFrame:
     )
 
 
+def stage_rows(instances: DataFrame, salt: str, **options) -> DataFrame:
+    """The first attempt at each stage: ``key``, ``stage``, ``status`` and ``attempt``, in one pass over the instances."""
+    names = {**BASE_FIELDS, **CT_FIELDS, **MR_FIELDS}
+    ingested = validate_metadata(instances, names).withColumnRenamed("is_valid", "ingested").drop("error_codes")
+    checked = validate_side_metadata(ingested, names).withColumnRenamed("is_valid", "checked").drop("error_codes")
+    treated = deidentify_all(checked, salt, keep=("ingested", "checked"), **options)
+    passed = {"ingestion": F.col("ingested"), "validation": F.col("checked"), "deidentification": F.col("failure").isNull()}
+    stages = [
+        F.struct(F.lit(stage).alias("stage"), F.when(passed[stage], good).otherwise(bad).alias("status"))
+        for stage, (good, bad) in STAGE_STATUS.items()
+    ]
+    rows = treated.select(F.col("path").alias("key"), F.explode(F.array(*stages)).alias("s"))
+    return rows.select("key", "s.stage", "s.status", F.lit(1).alias("attempt"))
+
+
 def write_routed(instances: DataFrame, target: str, salt: str, **options) -> None:
     """Write each instance into ``outcome=…/Modality=…`` below the target, replacing what is there."""
     routed(instances, salt, **options).write.mode("overwrite").partitionBy("outcome", "Modality").parquet(target)

@@ -8,67 +8,84 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from radiolith.operators.accounting import alarms
-from radiolith.plans.pipeline import write_routed
+from radiolith.plans.pipeline import outcome_metrics, write_routed
 from radiolith.schemas import FILE_FIELDS
 
+AVAILABLE_NOW = {"availableNow": True}
+SUMS = "period_start timestamp, period_end timestamp, name string, total double, points bigint"
 BINARY_FILE = T.StructType(FILE_FIELDS + [T.StructField("content", T.BinaryType())])
 
 
-def arriving_files(spark: SparkSession, path: str, suffix: str = ".dcm", per_batch: int = 10_000) -> DataFrame:
+def arriving_files(spark: SparkSession, path: str, suffix: str = ".dcm", per_batch: int | None = None) -> DataFrame:
     """New files below a path as they arrive. Without ``content`` in use no file is opened."""
-    return (
+    reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE)
         .option("pathGlobFilter", f"*{suffix}")
         .option("recursiveFileLookup", "true")
-        .option("maxFilesPerTrigger", per_batch)
-        .load(path)
     )
+    return (reader if per_batch is None else reader.option("maxFilesPerTrigger", per_batch)).load(path)
 
 
-def start_pipeline(instances: DataFrame, target: str, checkpoint: str, salt: str, **options) -> StreamingQuery:
+def start_pipeline(
+    instances: DataFrame, target: str, checkpoint: str, salt: str, trigger: dict | None = None,
+    metrics: str | None = None, **options,
+) -> StreamingQuery:
     """Route arriving instances as the batch job does, one folder per micro-batch.
 
     A batch that is run again after a failure overwrites its own folder, so every instance
-    is written exactly once.
+    is written exactly once. With a ``metrics`` folder, so are the batch's outcome counts.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_routed(batch, f"{target}/batch_id={batch_id}", salt, **options)
+        routed_to = f"{target}/batch_id={batch_id}"
+        write_routed(batch, routed_to, salt, **options)
+        if metrics:
+            # The schema is given: a batch without rows leaves no file to take it from.
+            written = batch.sparkSession.read.schema("outcome string").parquet(routed_to)
+            outcome_metrics(written).write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
 
     return (
         instances.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
 
 
-def failure_alarms(points: DataFrame, period: str = "5 minutes", lateness: str = "10 minutes") -> DataFrame:
-    """Periods in which a failure metric counted anything; each is reported once it is closed."""
-    summed = (
+def failure_sums(points: DataFrame, period: str = "5 minutes", lateness: str = "10 minutes") -> DataFrame:
+    """Sum and number of points per period and metric; a period takes points until it is ``lateness`` old."""
+    return (
         points.withWatermark("ts", lateness)
         .groupBy(F.window("ts", period).alias("w"), "name")
         .agg(F.sum("value").alias("total"), F.count("*").alias("points"))
-        .select(
-            F.col("w.start").alias("period_start"),
-            F.col("w.end").alias("period_end"),
-            "name",
-            "total",
-            "points",
-        )
+        .select(F.col("w.start").alias("period_start"), F.col("w.end").alias("period_end"), "name", "total", "points")
     )
-    return alarms(summed)
 
 
-def start_alarms(points: DataFrame, target: str, checkpoint: str, **options) -> StreamingQuery:
-    """Append alarms to a table folder as periods close."""
+def start_alarms(points: DataFrame, target: str, checkpoint: str, trigger: dict | None = None, **options) -> StreamingQuery:
+    """Write the sums that a micro-batch changed, of open periods too, into a folder of the batch.
+
+    A batch that is run again overwrites its folder; ``raised_alarms`` reads the last state of each period.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
+
     return (
-        failure_alarms(points, **options)
-        .writeStream.format("parquet")
-        .option("path", target)
+        failure_sums(points, **options)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
+        .outputMode("update")
+        .trigger(**(trigger or AVAILABLE_NOW))
         .start()
     )
+
+
+def raised_alarms(spark: SparkSession, target: str) -> DataFrame:
+    """The periods whose last written sum raises an alarm."""
+    written = spark.read.schema(f"{SUMS}, batch_id bigint").parquet(target)
+    last = written.groupBy("period_start", "period_end", "name").agg(
+        F.max_by("total", "batch_id").alias("total"), F.max_by("points", "batch_id").alias("points")
+    )
+    return alarms(last)

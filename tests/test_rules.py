@@ -157,8 +157,9 @@ MANIFEST_GOOD = ("M1", "2024-01-01T10:00:00Z", "P1", "1.2", 1, 10, [("a.dcm", 10
         (4, -1, "D5,D7"),
         (5, -1, "D6"),
         (5, 999, ""),
-        (6, [("", 10, "0" * 32)], "F1-F3"),
-        (6, [("a", 10, "short")], "F1-F3"),
+        (6, [("", 10, "0" * 32)], "F1"),
+        (6, [("a", -1, "0" * 32)], "F2"),
+        (6, [("a", 10, "short")], "F3"),
     ],
 )
 def test_nested_manifest(spark, at, value, codes):
