@@ -138,7 +138,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFram
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come sorted by cell; what a batch leaves open is carried to the next."""
         rest = None
-        for batch in _and_end(batches):
+        for batch in and_end(batches):
             found_a, found_b = [], []
             if batch is not None:
                 now = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("grid", "cell", "i", "j", "fp")]
@@ -166,7 +166,7 @@ def fingerprint_links(distinct: DataFrame, distance: int = DISTANCE) -> DataFram
     )
 
 
-def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+def and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
     yield from batches
     yield None
 
@@ -187,8 +187,26 @@ def near_groups(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     )
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A row's id and text as one value; the smallest has the smallest id, null last, and then the smallest text hash."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"))
+
+
+def only_rows(documents: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents whose ``row_key`` is a ``key``, each once, with all their columns."""
+    names = [free_name(documents, n) for n in ("__none", "__id", "__text_key")]
+
+    def parts(key: Column) -> list[Column]:
+        return [key["none"], F.coalesce(key["id"].cast("string"), F.lit("")), key["text_key"]]
+
+    wanted = keys.select(*[p.alias(n) for p, n in zip(parts(F.col("key")), names, strict=True)])
+    marked = documents.withColumns(dict(zip(names, parts(row_key(id_col, text_col)), strict=True)))
+    return marked.join(wanted, names, "left_semi").dropDuplicates(names).drop(*names)
+
+
 def keep_one(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents whose id is the smallest of their component, with all their columns."""
-    key = free_name(documents, "__kept")
-    kept = near_groups(documents, id_col, text_col).where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias(key)).distinct()
-    return documents.join(kept, F.col(id_col).eqNullSafe(F.col(key)), "left_semi")
+    """One row of each component, with all its columns: the smallest ``row_key``, and of rows equal in it one."""
+    rows = documents.select(row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    firsts = near_groups(rows, "key", "text").select(F.col("component_id").alias("key")).distinct()
+    return only_rows(documents, firsts, id_col, text_col)
