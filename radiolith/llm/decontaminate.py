@@ -14,8 +14,8 @@ the filter needs is one token, the rarest of the corpus.
    every window. Shingles are told by 64 bits each, eight of them for ten words.
 
 Defined cases: a null or empty text has no words, is not contaminated and is in no window; repeated documents are judged
-alike; repeated items and ids are merged by id; ids may be null (of items, not reported); an empty benchmark leaves all
-documents clean; very long texts are read whole; columns other than id and text are not read.
+alike; repeated items and ids are merged by id; ids may be null (items without one count as one item, whose hits count but whose
+id is not reported); an empty benchmark leaves all documents clean; very long texts are read whole; columns other than id and text are not read.
 """
 
 from __future__ import annotations
@@ -71,7 +71,6 @@ def shingle_ids(words: list[bytes], size: int) -> np.ndarray:
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
     """``item, words, size, shingles``: each window once per item, with its number of words and its shingles' ids."""
     rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text"))
-    rows = rows.where("item is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -113,8 +112,8 @@ def _filter(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
 def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW,
                   shingle: int = SHINGLE) -> DataFrame:
-    """Per document: id, ``text_key``, ``n_words``, ``n_hit`` (words inside a window's occurrence) and ``items`` (ids of
-    the items with an occurring window, sorted as strings)."""
+    """Per document: id, ``text_key``, ``n_words``, ``n_hit`` (words inside a window's occurrence), ``items`` (ids of
+    the items with an occurring window, sorted as strings) and ``n_items`` (their number, items without an id being one more)."""
     spark = documents.sparkSession
     windows = stored(item_windows(benchmark, item_col, item_text_col, window, shingle), "windows")
     bits, sizes = _filter(windows)
@@ -170,7 +169,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits, items = [], []
+            hits, items, numbers = [], [], []
             for size, held_tokens, claims in zip(*(batch.column(n).to_pylist() for n in ("n_words", "tokens", "asked")), strict=True):
                 at = {}
                 for token in held_tokens:
@@ -180,21 +179,23 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
                     start = claim["start"]
                     if all(s in at.get(start + k, ()) for k, s in enumerate(claim["shingles"])):
                         hit[start : start + claim["words"]] = True
-                        names.add(str(claim["item"]))
+                        names.add(None if claim["item"] is None else str(claim["item"]))
                 hits.append(int(hit.sum()))
-                items.append(sorted(names))
+                items.append(sorted(names - {None}))
+                numbers.append(len(names))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string()))],
-                names=["doc", "n_hit", "items"],
+                [batch.column("doc"), pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(numbers, pa.int64())],
+                names=["doc", "n_hit", "items", "n_items"],
             )
 
-    verified = kept.select("doc", "n_words", "tokens").join(asked, "doc").mapInArrow(verify, "doc long, n_hit long, items array<string>")
+    verified = kept.select("doc", "n_words", "tokens").join(asked, "doc").mapInArrow(verify, "doc long, n_hit long, items array<string>, n_items long")
     return kept.select("doc", "id", "text_key", "n_words").join(verified, "doc", "left").select(
         F.col("id").alias(id_col),
         "text_key",
         "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
     )
 
 
