@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radiolith.llm import chat, decontaminate, exact_dedup, pieces, quality, simhash, substring_dedup, suffix_dedup, url_filter, warc
+from radiolith.llm import chat, decontaminate, exact_dedup, packing, pieces, quality, simhash, substring_dedup, suffix_dedup, url_filter, warc
 from radiolith.llm.common import table
 
 #: The rules that op1 judges by: action, host, path.
@@ -78,6 +79,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_simhash, op4_chat, op5_substring_dedup, op6_pieces, op7_warc, op8_decontaminate, op9_quality, op10_exact_dedup)
+    f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_simhash, op4_chat, op5_substring_dedup, op6_pieces, op7_warc, op8_decontaminate, op9_quality, op10_exact_dedup, op11_best_fit)
 }
