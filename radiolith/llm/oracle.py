@@ -65,4 +65,34 @@ ORACLE: dict[str, str] = {
         g AS (SELECT *, first_value(doc_id) OVER (PARTITION BY text_sha256 ORDER BY n DESC, doc_id) AS keep_id,
             count(*) OVER (PARTITION BY text_sha256) AS group_size FROM d)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g""",
+    "op12_hard_negatives": r"""WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+            list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS other, a.label = r.label AS same, list_dot_product(a.v, r.v)::BIGINT AS score
+            FROM r a JOIN r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+        p AS (SELECT anchor_id, other, score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+        SELECT p.anchor_id, p.other AS positive_id, (row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY s.score DESC, s.other))::INT AS rank,
+            s.other AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score
+        QUALIFY rank <= 5""",
+    "op13_divergence": r"""WITH t AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '') AS terms FROM documents),
+        d AS (SELECT doc, lang, source, unnest(terms) AS term FROM t),
+        kept AS (SELECT lang, term, count(*) AS total FROM d GROUP BY lang, term HAVING count(DISTINCT doc) >= 10),
+        g AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+        c AS (SELECT lang, source, term, count(*) AS n FROM d JOIN kept USING (lang, term) GROUP BY lang, source, term),
+        x AS (SELECT g.lang, g.source, kept.term, coalesce(n, 0) AS n, total, count(*) OVER (PARTITION BY g.lang, g.source) AS v,
+                sum(coalesce(n, 0)) OVER (PARTITION BY g.lang, g.source) AS group_n, sum(total) OVER (PARTITION BY g.lang, g.source) AS lang_n
+            FROM g JOIN kept ON g.lang = kept.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = kept.term),
+        s AS (SELECT lang, source, term, n, (1 + (1000000000 * (n + 2)::HUGEINT) // (group_n + 2 * v))::HUGEINT AS p,
+                (1 + (1000000000 * (total + 2)::HUGEINT) // (lang_n + 2 * v))::HUGEINT AS q FROM x),
+        pair AS (SELECT a.lang, a.source, b.source AS item, coalesce(sum(((pa.p - pb.p) * (pa.p - pb.p)) // (pa.p + pb.p)), 0)::BIGINT AS value
+            FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s pa ON pa.lang = a.lang AND pa.source = a.source
+                LEFT JOIN s pb ON pb.lang = b.lang AND pb.source = b.source AND pb.term = pa.term GROUP BY 1, 2, 3),
+        term AS (SELECT lang, source, term AS item, (((p - q) * (p - q)) // (p + q))::BIGINT AS value FROM s WHERE n > 0 AND p > q),
+        u AS (SELECT 'pair' AS part, * FROM pair UNION ALL SELECT 'term', * FROM term)
+        SELECT lang, source, part, item, value, (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INT AS rank
+        FROM u QUALIFY part = 'pair' OR rank <= 10""",
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radiolith.llm import chat, decontaminate, exact_dedup, packing, pieces, quality, simhash, substring_dedup, suffix_dedup, url_filter, warc
+from radiolith.llm import chat, decontaminate, divergence, exact_dedup, negatives, packing, pieces, quality, simhash, substring_dedup, suffix_dedup, url_filter, warc
 from radiolith.llm.common import table
 
 #: The rules that op1 judges by: action, host, path.
@@ -84,6 +84,16 @@ def op11_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", label.alias("label"), negatives.whole_components(F.col("embedding"), 256).alias("vector"))
+    return negatives.mine(vectors, F.col("vec_id") % 100 == 0, id_col="vec_id")
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_simhash, op4_chat, op5_substring_dedup, op6_pieces, op7_warc, op8_decontaminate, op9_quality, op10_exact_dedup, op11_best_fit)
+    f.__name__: f for f in (op1_url_filter, op2_suffix_dedup, op3_simhash, op4_chat, op5_substring_dedup, op6_pieces, op7_warc, op8_decontaminate, op9_quality, op10_exact_dedup, op11_best_fit, op12_hard_negatives, op13_divergence)
 }
