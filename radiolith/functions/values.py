@@ -60,7 +60,12 @@ def is_white(value: Column) -> Column:
 
 
 def real_number(value: Column, dtype: T.DataType) -> Column:
-    """Value as double; NULL where the text is no decimal number (no NaN, infinity or type suffix)."""
+    """Value as double; NULL where the text is no decimal number (no NaN, infinity or type suffix).
+
+    A VARIANT counts as the text or number that it holds.
+    """
+    if isinstance(dtype, T.VariantType):
+        value, dtype = F.try_variant_get(value, "$", "string"), T.StringType()
     if isinstance(dtype, T.StringType):
         value = F.when(~value.rlike(_NOT_NUMERIC), value)
     return value.try_cast("double")

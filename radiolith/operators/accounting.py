@@ -31,15 +31,6 @@ def deid_counts(treated: DataFrame) -> DataFrame:
     )
 
 
-def outcome_counts(results: DataFrame) -> DataFrame:
-    """Counts per handler and outcome, with the metric name ``<handler>Success`` or ``<handler>Failure``."""
-    return (
-        results.groupBy("handler", "outcome")
-        .agg(F.count("*").alias("count"))
-        .select(F.concat("handler", F.initcap("outcome")).alias("metric_name"), "handler", "outcome", "count")
-    )
-
-
 def batch_results(results: DataFrame, batch: Column) -> DataFrame:
     """Per batch: rows processed, failures included, and successes. The result rows stay a table of their own."""
     return results.groupBy(batch.alias("batch_id")).agg(
@@ -50,15 +41,16 @@ def batch_results(results: DataFrame, batch: Column) -> DataFrame:
 
 
 def pipeline_results(ingestion: DataFrame, validation: DataFrame, deidentification: DataFrame) -> DataFrame:
-    """The three stage outcomes of each ingested object side by side, and the overall status.
+    """The three stage outcomes of each uploaded object version side by side, and the overall status.
 
-    Stage tables have ``key``, ``status`` and ``attempt``. They are stacked and aggregated
-    by key instead of joined, see ``stacked_results``.
+    Stage tables have ``key``, ``version``, ``status`` and ``attempt``; events that know no version get that of the
+    latest upload before them from ``merge.as_of``. The tables are stacked and aggregated instead of joined, see
+    ``stacked_results``.
     """
     stages = {"ingestion": ingestion, "validation": validation, "deidentification": deidentification}
     stacked = None
     for name, stage in stages.items():
-        rows = stage.select("key", "status", "attempt", F.lit(name).alias("stage"))
+        rows = stage.select("key", "version", "status", "attempt", F.lit(name).alias("stage"))
         stacked = rows if stacked is None else stacked.unionByName(rows)
     return stacked_results(stacked)
 
@@ -71,41 +63,72 @@ STAGE_STATUS = {
 }
 
 
+def _last(attempt: Column, passed: Column) -> Column:
+    """The last attempt and its outcome in one whole number, so that aggregation hashes instead of sorting.
+
+    Even numbers passed. Of equal attempts the failed one counts.
+    """
+    return F.max(attempt.cast("bigint") * 2 + F.when(passed, 0).otherwise(1))
+
+
 def stacked_results(stacked: DataFrame) -> DataFrame:
-    """As ``pipeline_results``, from one table with ``key``, ``stage``, ``status`` and ``attempt``.
+    """As ``pipeline_results``, from one table with ``key``, ``version``, ``stage``, ``status`` and ``attempt``.
 
-    Repeats of a key combine before the one shuffle, and the last attempt counts (of equal
-    ones, the good one). Attempt and status travel as one whole number, so the aggregation
-    hashes instead of sorting; any status but the stage's good one counts as its bad one.
-    A run succeeds where every stage did.
+    Repeats combine before the one shuffle; any status but the stage's good one counts as its bad one. A run belongs to
+    one version of an object and succeeds where every stage did.
     """
     last = []
     for name, (good, _) in STAGE_STATUS.items():
-        code = F.col("attempt").cast("bigint") * 2 + F.col("status").eqNullSafe(good).cast("int")
-        last.append(F.max(F.when(F.col("stage") == name, code)).alias(name))
-    outcome = stacked.groupBy("key").agg(*last).where(F.col("ingestion").isNotNull())
-    passed = {name: F.pmod(name, F.lit(2)) == 1 for name in STAGE_STATUS}
-    success = F.coalesce(passed["ingestion"] & passed["validation"] & passed["deidentification"], F.lit(False))
-    return outcome.select(
+        own = F.col("stage") == name
+        last.append(_last(F.when(own, F.col("attempt")), F.col("status").eqNullSafe(good)).alias(name))
+    return _results(stacked.groupBy("key", "version").agg(*last).where(F.col("ingestion").isNotNull()))
+
+
+def wide_results(wide: DataFrame) -> DataFrame:
+    """As ``stacked_results``, from rows that hold the outcomes of all three stages as booleans: a third of the rows."""
+    last = [_last(F.col("attempt"), F.col(name)).alias(name) for name in STAGE_STATUS]
+    return _results(wide.groupBy("key", "version").agg(*last))
+
+
+def _results(grouped: DataFrame) -> DataFrame:
+    passed = {name: F.pmod(name, F.lit(2)) == 0 for name in STAGE_STATUS}
+    return grouped.select(
         "key",
+        "version",
         *[
             F.when(passed[name], good).when(~passed[name], bad).alias(f"{name}_status")
             for name, (good, bad) in STAGE_STATUS.items()
         ],
-        F.when(success, "SUCCESS").otherwise("FAILED").alias("status"),
+        F.when(_every(passed), "SUCCESS").otherwise("FAILED").alias("status"),
     )
 
 
-def stage_outcomes(results: DataFrame) -> DataFrame:
-    """``handler, outcome`` of every stage that an object of ``pipeline_results`` went through, and of the whole run."""
+def _every(passed: dict[str, Column]) -> Column:
+    return F.coalesce(passed["ingestion"] & passed["validation"] & passed["deidentification"], F.lit(False))
+
 
-    def outcome(handler: str, column: str, good: str) -> Column:
-        shown = F.when(F.col(column) == good, "success").when(F.col(column) != good, "failure")
-        return F.struct(F.lit(handler).alias("handler"), shown.alias("outcome"))
+def handler_outcomes(wide: DataFrame) -> DataFrame:
+    """Counts of handler runs, every row one run of each stage, and of whole pipeline runs, one for a key and version.
 
-    stages = [outcome(name.capitalize(), f"{name}_status", good) for name, (good, _) in STAGE_STATUS.items()]
-    rows = results.select(F.explode(F.array(*stages, outcome("Pipeline", "status", "SUCCESS"))).alias("o"))
-    return rows.select("o.handler", "o.outcome").where("outcome IS NOT NULL")
+    One pass and one shuffle: the runs of a version are counted where its last attempts are found.
+    """
+    counts = [
+        F.count_if(flag).cast("bigint").alias(f"{name}_{outcome}")
+        for name in STAGE_STATUS
+        for outcome, flag in (("success", F.col(name)), ("failure", ~F.col(name)))
+    ]
+    last = [_last(F.col("attempt"), F.col(name)).alias(name) for name in STAGE_STATUS]
+    runs = wide.groupBy("key", "version").agg(*last, *counts)
+    success = _every({name: F.pmod(name, F.lit(2)) == 0 for name in STAGE_STATUS})
+    sums = [F.sum(f"{name}_{outcome}").alias(f"{name}_{outcome}") for name in STAGE_STATUS for outcome in ("success", "failure")]
+    totals = runs.agg(*sums, F.count_if(success).alias("pipeline_success"), F.count_if(~success).alias("pipeline_failure"))
+    rows = [
+        F.struct(F.lit(name.capitalize()).alias("handler"), F.lit(outcome).alias("outcome"), F.col(f"{name}_{outcome}").alias("count"))
+        for name in (*STAGE_STATUS, "pipeline")
+        for outcome in ("success", "failure")
+    ]
+    found = totals.select(F.inline(F.array(*rows))).where("count > 0")
+    return found.select(F.concat("handler", F.initcap("outcome")).alias("metric_name"), "handler", "outcome", "count")
 
 
 def metric_rollup(points: DataFrame, period: str = "5 minutes") -> DataFrame:

@@ -7,13 +7,14 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from radiolith.functions.keys import attachment
 from radiolith.functions.values import true_or_false
 from radiolith.operators import integrity
 from radiolith.operators.rules import DELIVERY_FILE, MANIFEST, Fields, broken_flags, with_verdict
+from radiolith.session import shared_dir
 
 DEFAULT_EXPIRY = 3600
 DICOM_CONTENT = "application/dicom"
@@ -133,30 +134,72 @@ def manifest_files(files: DataFrame) -> DataFrame:
     return files.select(manifest_id().alias("manifest_id"), "file_path", "file_size", "checksum")
 
 
-def manifest_documents(files: DataFrame, created_at: Column, parts: int) -> DataFrame:
-    """Manifests with their files as an array, for consumers that want whole documents.
+def manifest_documents(files: DataFrame, created_at: Column, max_files: int) -> DataFrame:
+    """Manifests with their files as an array, at most ``max_files`` in a document, for consumers that want whole ones.
 
-    Every study is cut into ``parts`` documents by a hash of the file path, whatever its size; parts without a file
-    are not written. A document holds a study's files divided by ``parts``, so choose it for the largest study, or use
-    ``manifest_headers`` with ``manifest_files``, which hold no list at all.
+    A study's files are numbered in path order by a prefix sum: files are dealt out by ranges of (study, path), so that
+    a large study lies in several ranges, counted in each, and numbered on from the counts of the ranges before. Every
+    ``max_files`` make a document, so no list is longer, whatever share of all files a study has.
     """
-    part = F.conv(F.substring(F.md5(F.col("file_path").cast("binary")), 1, 4), 16, 10).cast("int") % parts
-    listed = files.groupBy(*STUDY, part.alias("part")).agg(
-        F.sort_array(F.collect_list(F.struct("file_path", "file_size", "checksum"))).alias("files"),
-        F.sum("file_size").alias("part_size_bytes"),
+    spark = files.sparkSession
+    order = ["file_path", "file_size", "checksum"]
+    named = files.select(manifest_id().alias("manifest_id"), *STUDY, *order)
+    ranges = shared_dir(spark, "manifest-files")
+    # Ranges are drawn from a sample, so they are written before they are counted and numbered.
+    dealt = named.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "manifest_id", *order)
+    dealt.withColumn("range", F.spark_partition_id()).write.parquet(ranges)
+    numbered = spark.read.parquet(ranges)
+    before = Window.partitionBy("manifest_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        numbered.groupBy("manifest_id", "range")
+        .agg(F.count("*").alias("files"))
+        .select(
+            "manifest_id",
+            "range",
+            F.coalesce(F.sum("files").over(before), F.lit(0)).alias("before"),
+            F.sum("files").over(Window.partitionBy("manifest_id")).alias("all_files"),
+        )
+    )
+    within = F.row_number().over(Window.partitionBy("manifest_id", "range").orderBy(*order))
+    place = F.col("before") + F.col("n") - 1
+    listed = (
+        numbered.withColumn("n", within)
+        .join(offsets, ["manifest_id", "range"])
+        .groupBy("manifest_id", F.floor(place / max_files).cast("int").alias("part"))
+        .agg(
+            *[F.first(name).alias(name) for name in STUDY],
+            F.ceil(F.first("all_files") / max_files).cast("int").alias("parts"),
+            F.sort_array(F.collect_list(F.struct(*order))).alias("files"),
+            F.sum("file_size").alias("part_size_bytes"),
+        )
     )
     return listed.select(
-        manifest_id().alias("manifest_id"),
+        "manifest_id",
         created_at.alias("created_at"),
         *STUDY,
         "part",
-        F.lit(parts).alias("parts"),
+        "parts",
         F.size("files").alias("part_files"),
         "part_size_bytes",
         "files",
     )
 
 
+def granted_files(files: DataFrame, grants: DataFrame) -> DataFrame:
+    """Manifest files with ``presigned_url`` (where the grant's service offers the object) and ``url_expiration``.
+
+    Grants are those of ``download_grants``, one for each key; a file without one keeps NULLs. The URL names bucket and
+    key and carries no signature.
+    """
+    offered = grants.groupBy("object_key").agg(F.max(F.struct("expires_at", "bucket")).alias("grant"))
+    key = F.replace(F.url_encode("file_path"), F.lit("%2F"), F.lit("/"))
+    return files.join(offered, F.col("file_path") == F.col("object_key"), "left").select(
+        *files.columns,
+        F.concat(F.lit("https://"), F.col("grant.bucket"), F.lit("/"), key).alias("presigned_url"),
+        F.date_format("grant.expires_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("url_expiration"),
+    )
+
+
 def validate_manifests(declared: DataFrame, files: DataFrame) -> DataFrame:
     """Verdict over declared manifests and their file rows.
 

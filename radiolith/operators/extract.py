@@ -144,6 +144,60 @@ def nested_records(metadata: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
+def raw_records(metadata: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The records of ``nested_records`` before typing: numbers are VARIANT values as they came, the id is unstripped.
+
+    Rules over these see what the flat metadata says, so an unreadable number or an id that is too long is reported.
+    ``typed_records`` makes numbers of them.
+    """
+
+    def block(modality: str, fields: Sequence[str]) -> Column:
+        present = (F.col("modality") == modality) & F.coalesce(*[F.col(f).cast("string") for f in fields]).isNotNull()
+        return F.when(present, F.struct(*[raw(f) for f in fields]))
+
+    def raw(name: str) -> Column:
+        return F.col(name).cast("variant").alias(name)
+
+    study = ("study_instance_uid", "study_date", "study_time", "study_description", "accession_number")
+    image = ("rows", "columns", "bits_allocated", "bits_stored")
+    return metadata.select(
+        *keep,
+        F.struct("patient_id", "patient_sex", "patient_age").alias("patient"),
+        F.struct(*study).alias("study"),
+        F.struct(
+            "series_instance_uid", raw("series_number"), "series_description", F.upper("modality").alias("modality")
+        ).alias("series"),
+        F.struct("sop_instance_uid", "sop_class_uid", raw("instance_number")).alias("instance"),
+        F.when(
+            F.col("rows").isNotNull() | F.col("columns").isNotNull(), F.struct(*[raw(n) for n in image], "pixel_spacing")
+        ).alias("image"),
+        block("CT", list(CT_FIELDS)).alias("ct_metadata"),
+        block("MR", list(MR_FIELDS)).alias("mr_metadata"),
+    )
+
+
+def typed_records(records: DataFrame) -> DataFrame:
+    """Raw records with numbers for their VARIANT values, NULL where a value is none, and a stripped patient id."""
+
+    def typed(block: str, field: T.StructField) -> Column:
+        value = F.col(f"{block}.{field.name}")
+        if field.name == "patient_id":
+            return strip(value).alias(field.name)
+        if not isinstance(field.dataType, T.VariantType):
+            return value.alias(field.name)
+        number = real_number(value, field.dataType)
+        return (only_whole(number).try_cast("int") if field.name in INTEGER_FIELDS else number).alias(field.name)
+
+    columns = []
+    for column in records.schema.fields:
+        if isinstance(column.dataType, T.StructType):
+            own = F.struct(*[typed(column.name, field) for field in column.dataType.fields])
+            columns.append(F.when(F.col(column.name).isNotNull(), own).alias(column.name))
+        else:
+            columns.append(F.col(column.name))
+    return records.select(*columns)
+
+
 def row_records(table: DataFrame, name: str = "record") -> DataFrame:
     """Each row as one JSON record; empty cells stay as explicit nulls."""
     return table.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))

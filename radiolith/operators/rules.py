@@ -308,7 +308,11 @@ def validate_side_metadata(metadata: DataFrame, names: dict[str, str] | None = N
 
 
 def validate_records(records: DataFrame) -> DataFrame:
-    """Verdict over nested records: every block's rules and the cross-model rules."""
+    """Verdict over nested records: every block's rules and the cross-model rules.
+
+    Raw records (``extract.raw_records``) get the verdict of their flat metadata; in typed ones an unreadable number is
+    already gone.
+    """
     flags, every_field = [], []
     for name, family in (
         ("patient", PATIENT),

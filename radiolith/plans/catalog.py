@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from radiolith.functions import keys
 
@@ -17,7 +18,7 @@ from radiolith.operators import accounting, deid, delivery, extract, integrity,
 from radiolith.plans import pipeline
 from radiolith.schemas import CSV_RECORD, DATE_TAGS, JSON_STUDY, XML_STUDY
 from radiolith.session import shared_dir
-from radiolith.sources import dicom, objects, sidecar, sinks, study_view
+from radiolith.sources import dicom, objects, sidecar, sinks, splitting, stores, study_view
 from radiolith.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +92,35 @@ def src_dicom_headers(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register
+def src_dicom_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Files written from the instances, listed level by level and scanned through the listing table."""
+    root = shared_dir(spark, "dicom-files")
+    files = study_view.as_dicom_bytes(_instances(spark, sf), _HEADER_TEXT, _HEADER_NUMBERS)
+    # Named by content: order lines with one path and different headers are different files.
+    folder = F.regexp_replace("path", "/[^/]*$", "/")
+    stores.put_objects(files.select(F.concat(folder, F.md5("content"), F.lit(".dcm")).alias("key"), "content"), root)
+    scanned = dicom.read_dicom(spark, root, ["path", *_HEADER_TEXT, *_HEADER_NUMBERS, "has_pixel_data", "parse_error"])
+    return scanned.select(
+        F.regexp_extract("path", "/raw/([^/]+)/[^/]+$", 1).alias("folder"),
+        *_HEADER_TEXT,
+        *[_text(n) for n in _HEADER_NUMBERS],
+        _text("has_pixel_data"),
+        "parse_error",
+    )
+
+
+@register
+def src_list_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """A tree of the pages' payloads, folders by host, listed on the executors; checksums are read from the files."""
+    root, number = shared_dir(spark, "pages"), F.col("page_id")
+    host = F.regexp_replace(F.regexp_extract(F.coalesce("url", F.lit("")), "://([^/?#]*)", 1), "[^A-Za-z0-9.-]", "_")
+    key = F.concat_ws("/", F.lit("web"), F.concat(F.lit("h-"), host), _text(number % 13, "d"), F.concat(F.lit("page-"), _text(number, "n"), F.lit(".html")))
+    pages = study_view.table(spark, sf, "pages")
+    stores.put_objects(pages.select(key.alias("key"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("content")), root)
+    return objects.object_listing(spark, root, with_etag=True, pattern="*.html").select("key", "size", "etag")
+
+
 @register
 def src_csv(spark: SparkSession, sf: str) -> DataFrame:
     target = shared_dir(spark, "csv")
@@ -135,6 +165,42 @@ def src_json(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_DOCUMENT = T.StructType([T.StructField(name, T.StringType()) for name in ("doc_id", "lang", "source", "text")])
+
+
+def _document_texts(spark: SparkSession, sf: str) -> DataFrame:
+    documents = study_view.table(spark, sf, "documents")
+    return documents.select(*[F.coalesce(F.col(n).cast("string"), F.lit("")).alias(n) for n in _DOCUMENT.names])
+
+
+def _digests(read: DataFrame) -> DataFrame:
+    whole = [F.coalesce(n, F.lit("")).alias(n) for n in ("doc_id", "lang", "source")]
+    text = F.coalesce("text", F.lit(""))
+    return read.select(*whole, F.length(text).alias("n_chars"), F.md5(text).alias("text_md5"), "_corrupt_record")
+
+
+@register
+def src_csv_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents, line breaks and quotes included, as cells of CSV files that many tasks cut."""
+    target = shared_dir(spark, "csv-large")
+    writer = _document_texts(spark, sf).write.option("header", "true").option("quoteAll", "true").option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(target)
+    return _digests(splitting.read_large_csv(spark, target, _DOCUMENT, piece_bytes=1 << 18))
+
+
+@register
+def src_json_large(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole documents as elements of JSON arrays that many tasks cut."""
+    target = shared_dir(spark, "json-large")
+    one = F.to_json(F.struct(*_DOCUMENT.names), {"ignoreNullFields": "false"})
+    arrays = _document_texts(spark, sf).groupBy(F.floor(F.col("doc_id").cast("bigint") / 64).alias("bucket")).agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(one), ",\n"), F.lit("]")).alias("text")
+    )
+    named = arrays.select(F.concat(F.lit("part-"), _text("bucket"), F.lit(".json")).alias("key"), F.encode("text", "UTF-8").alias("content"))
+    stores.put_objects(named, target)
+    return _digests(splitting.read_large_json(spark, target, _DOCUMENT, piece_bytes=1 << 16))
+
+
 def _xml_documents(spark: SparkSession, sf: str) -> DataFrame:
     key = F.col("o_orderkey")
     items = F.array_join(
@@ -222,6 +288,26 @@ def src_stream_arrivals(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{target}/out")
 
 
+@register
+def src_stream_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """Every notification comes twice, in two micro-batches; each object version is let through once."""
+    base = shared_dir(spark, "notified")
+    events = study_view.arrival_events(spark, sf)
+    for _ in range(2):
+        events.write.mode("append").parquet(f"{base}/in")
+        read = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        stream = (
+            objects.distinct_arrivals(objects.arrivals(read, versioned=True))
+            .writeStream.format("parquet")
+            .option("path", f"{base}/out")
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        stream.awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("event_id", "bucket", "key", "size", "version", _stamp("event_time"))
+
+
 @register
 def src_log_events(spark: SparkSession, sf: str) -> DataFrame:
     events = study_view.log_events(spark, sf)
@@ -288,6 +374,20 @@ def snk_metrics(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _points(points: DataFrame) -> DataFrame:
+    dimension = F.concat_ws("=", F.element_at(F.map_keys("dimensions"), 1), F.element_at(F.map_values("dimensions"), 1))
+    summed = points.groupBy("namespace", "name", "unit", F.when(F.size("dimensions") > 0, dimension).otherwise("").alias("dimension"))
+    return summed.agg(F.sum("value").alias("value"))
+
+
+@register
+def snk_run_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metric families of one batch run, counted while its rows are written."""
+    target = shared_dir(spark, "run")
+    pipeline.run_batch(_instances(spark, sf), f"{target}/out", f"{target}/metrics", SALT, at=ISSUED_AT)
+    return _points(spark.read.parquet(f"{target}/metrics").where(F.col("ts") == F.lit(ISSUED_AT).cast("timestamp")))
+
+
 @register
 def snk_log_events(spark: SparkSession, sf: str) -> DataFrame:
     target = shared_dir(spark, "log-events")
@@ -455,17 +555,21 @@ def val_instance(spark: SparkSession, sf: str) -> DataFrame:
     return _verdict(rules.validate(_metadata(spark, sf), rules.INSTANCE))
 
 
+def _variants(**values: float | None) -> list[Column]:
+    return [F.lit(value).cast("double").cast("variant").alias(name) for name, value in values.items()]
+
+
 def _mixed_records(spark: SparkSession, sf: str) -> DataFrame:
-    """Nested records from elsewhere, some with the block of another modality."""
-    records = extract.nested_records(_metadata(spark, sf), keep=["path"])
-    number = F.col("instance.instance_number")
+    """Raw nested records from elsewhere, some with the block of another modality."""
+    records = extract.raw_records(_metadata(spark, sf), keep=["path"])
+    number = F.try_variant_get("instance.instance_number", "$", "double")
     return records.withColumns(
         {
             "ct_metadata": F.when(
-                number == 2, F.struct(F.lit(120.0).alias("kvp"), F.lit(None).cast("double").alias("slice_thickness"), F.lit(-1.0).alias("reconstruction_diameter"))
+                number == 2, F.struct(*_variants(kvp=120.0, slice_thickness=None, reconstruction_diameter=-1.0))
             ).otherwise(F.col("ct_metadata")),
             "mr_metadata": F.when(
-                number == 3, F.struct(F.lit(500.0).alias("repetition_time"), F.lit(9.0).alias("echo_time"), F.lit(1.5).alias("magnetic_field_strength"))
+                number == 3, F.struct(*_variants(repetition_time=500.0, echo_time=9.0, magnetic_field_strength=1.5))
             ).otherwise(F.col("mr_metadata")),
         }
     )
@@ -481,6 +585,23 @@ def val_nested_record(spark: SparkSession, sf: str) -> DataFrame:
     return _verdict(rules.validate_records(_mixed_records(spark, sf)))
 
 
+@register
+def val_typed_record(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw records as typed ones, next to their verdict: a number that can't be read is NULL and reported."""
+    judged = rules.validate_records(extract.raw_records(_metadata(spark, sf), keep=["path"]))
+    typed = extract.typed_records(judged)
+    return typed.select(
+        "path",
+        F.col("patient.patient_id").alias("patient_id"),
+        _text("series.series_number", "series_number"),
+        _text("instance.instance_number", "instance_number"),
+        _text("image.rows", "image_rows"),
+        F.col("ct_metadata.kvp").alias("ct_kvp"),
+        F.col("mr_metadata.magnetic_field_strength").alias("mr_field"),
+        "error_codes",
+    )
+
+
 @register
 def val_csv_record(spark: SparkSession, sf: str) -> DataFrame:
     judged = rules.validate(study_view.csv_records(spark, sf), rules.CSV_RECORD)
@@ -529,6 +650,27 @@ def val_manifest(spark: SparkSession, sf: str) -> DataFrame:
     return judged.select("manifest_id", "actual_files", "error_codes", "is_valid")
 
 
+@register
+def val_manifest_array(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifests that carry their files as an array, some with a wrong count or a damaged file."""
+    created = F.lit("2025-01-01T00:00:00Z")
+    documents = delivery.manifest_documents(_delivery_files(spark, sf), created, max_files=4)
+    first, size = F.col("files")[0], F.size("files")
+    number = F.regexp_extract("study_instance_uid", "([0-9]+)$", 1).cast("bigint")
+    damaged = F.struct(
+        F.when(number % 17 == 0, "").otherwise(first["file_path"]).alias("file_path"),
+        F.when(number % 19 == 0, -1).otherwise(first["file_size"]).alias("file_size"),
+        F.when(number % 23 == 0, "short").otherwise(first["checksum"]).alias("checksum"),
+    )
+    carried = documents.select(
+        "manifest_id", "part", "created_at", "patient_id", "study_instance_uid",
+        (size + F.when(number % 13 == 0, 1).otherwise(0)).alias("total_files"),
+        F.col("part_size_bytes").alias("total_size_bytes"),
+        F.concat(F.array(damaged), F.slice("files", 2, 4)).alias("files"),
+    )
+    return rules.validate_nested_manifests(carried).select("manifest_id", "part", F.size("files").alias("n_files"), "error_codes", "is_valid")
+
+
 @register
 def val_record(spark: SparkSession, sf: str) -> DataFrame:
     return _verdict(rules.validate_metadata(_metadata(spark, sf)))
@@ -570,8 +712,7 @@ def join_merge_metadata(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_returnflag").alias("status"),
         F.concat_ws("-", "l_linenumber", "l_partkey", "l_suppkey").alias("line"),
     )
-    second = merge.latest_per_key(lines, ["record_id"], "line")
-    return merge.merge_metadata(primary, [first, second], ["record_id"])
+    return merge.merge_metadata(primary, [(first, "priority"), (lines, "line")], ["record_id"])
 
 
 @register
@@ -633,7 +774,18 @@ def join_secure_grants(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def join_pipeline_results(spark: SparkSession, sf: str) -> DataFrame:
-    return accounting.stacked_results(pipeline.stage_rows(_instances(spark, sf), SALT))
+    return accounting.wide_results(pipeline.stage_outcomes(_instances(spark, sf), SALT, "SeriesDate"))
+
+
+@register
+def join_stage_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Stage events that know only their time, matched to the upload before them: users' events against orders' lines."""
+    uploads = study_view.table(spark, sf, "events").where(F.col("event_type") == "purchase")
+    later = study_view.table(spark, sf, "events").where(F.col("event_type") != "purchase")
+    stamped = F.col("ts").cast("timestamp").alias("at")
+    versions = uploads.select(F.col("user_id").alias("key"), stamped, F.col("event_id").alias("version"))
+    events = later.select(F.col("user_id").alias("key"), stamped, "event_id", F.col("event_type").alias("stage"))
+    return merge.as_of(events, versions, ["key"]).select("key", "event_id", "stage", _text("version"))
 
 
 # --- Aggregations ------------------------------------------------------------------------
@@ -656,8 +808,7 @@ def agg_deid_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def agg_pipeline_outcomes(spark: SparkSession, sf: str) -> DataFrame:
-    results = accounting.stacked_results(pipeline.stage_rows(_instances(spark, sf), SALT))
-    return accounting.outcome_counts(accounting.stage_outcomes(results))
+    return accounting.handler_outcomes(pipeline.stage_outcomes(_instances(spark, sf), SALT, "SeriesDate"))
 
 
 @register
@@ -681,7 +832,7 @@ def agg_manifest_files(spark: SparkSession, sf: str) -> DataFrame:
 
 @register
 def agg_manifest_documents(spark: SparkSession, sf: str) -> DataFrame:
-    documents = delivery.manifest_documents(_delivery_files(spark, sf), F.lit("2025-01-01T00:00:00Z"), parts=3)
+    documents = delivery.manifest_documents(_delivery_files(spark, sf), F.lit("2025-01-01T00:00:00Z"), max_files=3)
     return documents.select(
         "manifest_id",
         "part",
@@ -692,6 +843,15 @@ def agg_manifest_documents(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@register
+def agg_manifest_grants(spark: SparkSession, sf: str) -> DataFrame:
+    """Manifest files with the URL and expiry of their grant; every fifth object was not granted."""
+    files = delivery.manifest_files(_delivery_files(spark, sf))
+    lines = study_view.table(spark, sf, "lineitem").where(F.col("l_partkey") % 5 != 0)
+    grants = delivery.download_grants(lines.select(study_view.object_key().alias("object_key")), BUCKET, issued_at=ISSUED_AT)
+    return delivery.granted_files(files, grants).select("manifest_id", "file_path", "presigned_url", "url_expiration")
+
+
 @register
 def agg_metric_rollup(spark: SparkSession, sf: str) -> DataFrame:
     rolled = accounting.metric_rollup(study_view.metric_points(spark, sf), "1 hour")
@@ -877,15 +1037,25 @@ def pipeline_batch(spark: SparkSession, sf: str) -> DataFrame:
     return pipeline.routed(_instances(spark, sf), SALT).select(*_ROUTED)
 
 
-@register
-def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+def _stream_pipeline(spark: SparkSession, sf: str) -> str:
     target = shared_dir(spark, "stream-pipeline")
     lines = spark.readStream.schema(study_view.table(spark, sf, "lineitem").schema).parquet(f"{sf}/lineitem.parquet*")
     studies = study_view.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     patients = study_view.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     instances = study_view.as_instances(lines, studies, patients)
     jobs.start_pipeline(instances, f"{target}/out", f"{target}/checkpoint", SALT).awaitTermination()
-    return spark.read.option("basePath", f"{target}/out").parquet(f"{target}/out/batch_id=*").select(*_ROUTED)
+    return f"{target}/out"
+
+
+@register
+def stream_pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    return jobs.committed(spark, _stream_pipeline(spark, sf)).select(*_ROUTED)
+
+
+@register
+def stream_pipeline_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metric points of all micro-batches, summed."""
+    return _points(jobs.committed(spark, _stream_pipeline(spark, sf), "metrics"))
 
 
 @register

@@ -333,17 +333,24 @@ _FILES = """files AS (SELECT 'P' || o_custkey AS patient_id, '1.2.840.' || o_ord
     trunc(l_extendedprice)::BIGINT AS file_size FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 _MANIFEST_ID = """'MAN-' || sha256(coalesce(length(patient_id) || ':' || patient_id, '-') || '|'
     || coalesce(length(study_instance_uid) || ':' || study_instance_uid, '-'))[1:24]"""
+
+
+def _numbered(most: int) -> str:
+    """Files with the number of their document, ``most`` files each in path order."""
+    order = "ORDER BY file_path, file_size, md5(file_path)"
+    return f"""{_FILES}, numbered AS (SELECT *,
+        ((row_number() OVER (PARTITION BY patient_id, study_instance_uid {order}) - 1) // {most})::INTEGER AS part,
+        ((count(*) OVER (PARTITION BY patient_id, study_instance_uid) + {most - 1}) // {most})::INTEGER AS parts FROM files)"""
+
+
 _STAGES = (
     *FAILING,
-    f"ing AS (SELECT path AS key, CASE WHEN {_codes(RECORD)} = '' THEN 'success' ELSE 'failed' END AS status FROM inst)",
-    f"""val AS (SELECT path AS key, CASE WHEN {_codes(SIDE)} = '' THEN 'valid' ELSE 'invalid' END AS status
-        FROM inst)""",
-    """de AS (SELECT path AS key, CASE WHEN failure IS NULL THEN 'success' ELSE 'failed' END AS status
-        FROM treated)""",
-    """overall AS (SELECT key, i AS ingestion_status, v AS validation_status, d AS deidentification_status,
-        CASE WHEN i = 'success' AND v = 'valid' AND d = 'success' THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM (
-        SELECT key, max(i.status) AS i, max(v.status) AS v, max(d.status) AS d
-        FROM ing i LEFT JOIN val v USING (key) LEFT JOIN de d USING (key) GROUP BY key))""",
+    f"""runs AS (SELECT path AS key, SeriesDate AS version, {_codes(RECORD)} = '' AS i, {_codes(SIDE)} = '' AS v,
+        failure IS NULL AS d FROM treated)""",
+    """overall AS (SELECT key, version, CASE WHEN bool_and(i) THEN 'success' ELSE 'failed' END AS ingestion_status,
+        CASE WHEN bool_and(v) THEN 'valid' ELSE 'invalid' END AS validation_status,
+        CASE WHEN bool_and(d) THEN 'success' ELSE 'failed' END AS deidentification_status,
+        CASE WHEN bool_and(i AND v AND d) THEN 'SUCCESS' ELSE 'FAILED' END AS status FROM runs GROUP BY key, version)""",
 )
 _ROUTED = f"""SELECT path, outcome, codes AS error_codes, failure,
     CASE WHEN outcome = 'delivered' THEN {_hash("PatientID")} END AS PatientID,
@@ -352,6 +359,14 @@ _ROUTED = f"""SELECT path, outcome, codes AS error_codes, failure,
     CASE WHEN outcome = 'delivered' THEN Modality END AS Modality
     FROM (SELECT *, CASE WHEN codes <> '' THEN 'quarantined' WHEN failure IS NOT NULL THEN 'failed'
         ELSE 'delivered' END AS outcome FROM (SELECT *, {_codes(RECORD)} AS codes FROM treated))"""
+_GROUP = "CASE WHEN upper(Modality) IN ('CT', 'MR', 'CR', 'DX', 'XA', 'PT', 'NM', 'US') THEN upper(Modality) ELSE 'OTHER' END"
+_RUN_METRICS = f"""SELECT 'MedicalImaging/' || family AS namespace, name, 'Count' AS unit, dimension, count(*)::DOUBLE AS value FROM (
+    SELECT 'Ingestion' AS family, 'FilesProcessed' AS name, 'Modality=' || {_GROUP} AS dimension FROM inst WHERE {_codes(RECORD)} = ''
+    UNION ALL SELECT 'Validation', CASE WHEN v THEN 'ValidationSuccess' ELSE 'ValidationFailure' END, '' FROM runs
+    UNION ALL SELECT 'Deidentification', CASE WHEN d THEN 'FilesDeidentified' ELSE 'DeidentificationFailure' END, '' FROM runs
+    UNION ALL SELECT 'Pipeline', CASE WHEN i AND v AND d THEN 'PipelineSuccess' ELSE 'PipelineFailure' END, '' FROM runs
+    UNION ALL SELECT 'Pipeline', 'Files', 'Outcome=' || CASE WHEN NOT i THEN 'quarantined' WHEN NOT d THEN 'failed' ELSE 'delivered' END
+        FROM runs) GROUP BY ALL"""
 _XML = """SELECT 'P' || o_custkey AS patient_id, 'N' || o_custkey AS patient_name, NULL::VARCHAR AS dob,
     '1.2.' || o_orderkey AS study_uid, strftime(o_orderdate, '%Y%m%d') AS study_date, 'CT' AS modality,
     (o_orderkey % 3 + 1)::INTEGER AS items,
@@ -371,27 +386,16 @@ _MIXED = (
 _CROSS = {"X1": "(upper_modality = 'CT' AND has_mr)", "X2": "(upper_modality = 'MR' AND has_ct)"}
 
 
-def _typed(c: str, value: str, least: int, most: int | None = None) -> str:
-    """A rule over a nested record, where an unreadable number has become NULL."""
-    inside = f"{value} >= {least}" + ("" if most is None else f" AND {value} <= {most}")
-    return f"({value} IS NOT NULL AND NOT ({inside}))"
-
-
+#: The flat rules; a block that was put in is judged by its own values, of which only -1 breaks a rule.
 _NESTED_RULES = {
     **PATIENT,
-    "P1": "(stripped IS NULL OR length(stripped) NOT BETWEEN 1 AND 64)",
     **STUDY,
     **SERIES,
-    "E3": _typed("SeriesNumber", _whole("SeriesNumber"), 0, 99999),
     **IMAGE,
-    "C1": f"(NOT given_ct AND coalesce(own_ct, false) AND {_typed('KVP', _real('KVP'), 0, 200)})",
-    "C2": f"(NOT given_ct AND coalesce(own_ct, false) AND {_typed('S', _real('SliceThickness'), 0)})",
-    "C3": f"(given_ct OR (coalesce(own_ct, false) AND {_typed('R', _real('ReconstructionDiameter'), 0)}))",
-    "M1": f"(NOT given_mr AND coalesce(own_mr, false) AND {_typed('R', _real('RepetitionTime'), 0)})",
-    "M2": f"(NOT given_mr AND coalesce(own_mr, false) AND {_typed('E', _real('EchoTime'), 0)})",
-    "M3": f"(NOT given_mr AND coalesce(own_mr, false) AND {_typed('M', _real('MagneticFieldStrength'), 0, 20)})",
+    **{c: f"(NOT given_ct AND coalesce(own_ct, false) AND {b})" for c, b in _CT.items()},
+    "C3": f"(given_ct OR (coalesce(own_ct, false) AND {_CT['C3']}))",
+    **{c: f"(NOT given_mr AND coalesce(own_mr, false) AND {b})" for c, b in _MR.items()},
     **INSTANCE,
-    "N3": _typed("InstanceNumber", _whole("InstanceNumber"), 0),
     **_CROSS,
 }
 _FIELD_OF = {
@@ -441,6 +445,26 @@ ORACLE: dict[str, str] = {
         array_to_string(list_transform(range(1, (o_orderkey % 3 + 2)), lambda n: '1.2.' || o_orderkey || '.' || n), ',') AS series_uids,
         ([1, 3, 6])[o_orderkey % 3 + 1] AS number_sum, NULL::VARCHAR AS _corrupt_record FROM orders""",
     "src_xml": _XML,
+    "src_dicom_scan": _over(
+        "SELECT folder, "
+        + ", ".join(_readable(f"rtrim(ltrim({c}, ' '), ' ')", c) for c in _HEADER)
+        + ", "
+        + ", ".join(_readable(f"({value})::VARCHAR", value) for value in ('"Rows"', '"Columns"', "BitsAllocated", "has_pixel_data"))
+        + ", CASE WHEN PatientSex = 'X' THEN 'no DICOM preamble' END AS parse_error FROM files",
+        """files AS (SELECT DISTINCT regexp_extract(path, 'raw/([^/]+)/', 1) AS folder, """
+        + ", ".join(_HEADER)
+        + """, "Rows" % 65536 AS "Rows", "Columns", BitsAllocated, has_pixel_data FROM inst)""",
+    ),
+    "src_list_tree": """SELECT 'web/h-' || regexp_replace(regexp_extract(coalesce(url, ''), '://([^/?#]*)', 1), '[^A-Za-z0-9.-]', '_', 'g')
+        || '/' || (page_id % 13) || '/page-' || page_id || '.html' AS key, strlen(coalesce(html, '')) AS size,
+        md5(coalesce(html, '')) AS etag FROM pages""",
+    "src_csv_large": """SELECT doc_id::VARCHAR AS doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        length(coalesce(text, '')) AS n_chars, md5(coalesce(text, '')) AS text_md5, NULL::VARCHAR AS _corrupt_record FROM documents""",
+    "src_stream_distinct": f"""SELECT event_id, bucket, key, size, 'v' || event_id AS version,
+        strftime(TIMESTAMP '2024-01-01' + to_seconds(event_id % 600), {_SECONDS}) AS event_time FROM (
+        SELECT page_id AS event_id, 'incoming' AS bucket, key, length(html) AS size FROM (
+        SELECT page_id, html, unnest(['in box/' || url || CASE WHEN page_id % 3 <> 0 THEN '.dcm' ELSE '.txt' END,
+            'second/' || page_id || ' a.dcm']) AS key FROM pages) WHERE key LIKE '%.dcm')""",
     "src_list_objects": f"""WITH {_STORED} SELECT key, size, strftime(modified, {_SECONDS}) AS last_modified, etag
         FROM stored WHERE key LIKE 'raw/src1%' ORDER BY key LIMIT 1000""",
     "src_arrivals": """SELECT page_id AS event_id, 'incoming' AS bucket, key, length(html) AS size FROM (
@@ -470,6 +494,7 @@ ORACLE: dict[str, str] = {
         'None' AS unit, upper(Modality) AS modality, '2025-01-01 00:00:00' AS ts
         FROM inst WHERE {_codes(RECORD)} = '' GROUP BY upper(Modality)"""
     ),
+    "snk_run_metrics": _over(_RUN_METRICS, *_STAGES),
     "snk_log_events": f"""WITH {_LOG} SELECT '/imaging/ingestion' AS log_group, 'stream-' || level AS log_stream,
         strftime(ts, {_SECONDS}) AS ts, unnest([operation || ' started', message]) AS message FROM log""",
     # --- projections
@@ -552,6 +577,13 @@ ORACLE: dict[str, str] = {
     "val_instance": _over(_verdict(INSTANCE)),
     "val_cross_model": _over(_verdict(_CROSS, "mixed"), *_MIXED),
     "val_nested_record": _over(_verdict(_NESTED_RULES, "mixed"), *_MIXED),
+    "val_typed_record": _over(
+        f"""SELECT path, stripped AS patient_id, {_whole("SeriesNumber")}::INTEGER::VARCHAR AS series_number,
+        number::INTEGER::VARCHAR AS instance_number, CASE WHEN {_HAS_IMAGE} THEN "Rows"::VARCHAR END AS image_rows,
+        CASE WHEN own_ct THEN {_real("KVP")} END AS ct_kvp, CASE WHEN own_mr THEN {_real("MagneticFieldStrength")} END AS mr_field,
+        {_codes(RECORD)} AS error_codes FROM nested""",
+        _TRIMMED_RECORDS,
+    ),
     "val_csv_record": f"WITH {_CSV} " + _verdict(_CSV_RULES, "records", "record_id"),
     "val_manifest": """WITH declared AS (SELECT CASE WHEN o_orderkey % 301 = 0 THEN '' ELSE 'M' || o_orderkey END AS manifest_id,
         CASE WHEN o_orderkey % 31 = 0 OR o_orderkey % 37 = 0 THEN false ELSE true END AS dated,
@@ -616,6 +648,9 @@ ORACLE: dict[str, str] = {
         CASE WHEN key IS NOT NULL THEN 'attachment; filename="' || split(key, '/')[-1] || '"' END
             AS response_content_disposition FROM requested LEFT JOIN stored ON key = object_key""",
     "join_pipeline_results": _over("SELECT * FROM overall", *_STAGES),
+    "join_stage_versions": """SELECT e.user_id AS key, e.event_id, e.event_type AS stage, arg_max(u.event_id, (u.ts, u.event_id))::VARCHAR AS version
+        FROM events e LEFT JOIN events u ON u.event_type = 'purchase' AND u.user_id = e.user_id AND u.ts <= e.ts
+        WHERE e.event_type <> 'purchase' GROUP BY e.user_id, e.event_id, e.event_type""",
     # --- aggregations
     "agg_files_by_modality": _over(
         f"""SELECT upper(Modality) AS modality, count(*) AS files_processed FROM inst
@@ -632,9 +667,9 @@ ORACLE: dict[str, str] = {
     ),
     "agg_pipeline_outcomes": _over(
         """SELECT handler || upper(outcome[1]) || outcome[2:] AS metric_name, handler, outcome, count(*) AS count FROM (
-        SELECT 'Ingestion' AS handler, CASE status WHEN 'success' THEN 'success' ELSE 'failure' END AS outcome FROM ing
-        UNION ALL SELECT 'Validation', CASE status WHEN 'valid' THEN 'success' ELSE 'failure' END FROM val
-        UNION ALL SELECT 'Deidentification', CASE status WHEN 'success' THEN 'success' ELSE 'failure' END FROM de
+        SELECT 'Ingestion' AS handler, CASE WHEN i THEN 'success' ELSE 'failure' END AS outcome FROM runs
+        UNION ALL SELECT 'Validation', CASE WHEN v THEN 'success' ELSE 'failure' END FROM runs
+        UNION ALL SELECT 'Deidentification', CASE WHEN d THEN 'success' ELSE 'failure' END FROM runs
         UNION ALL SELECT 'Pipeline', CASE status WHEN 'SUCCESS' THEN 'success' ELSE 'failure' END FROM overall)
         GROUP BY handler, outcome""",
         *_STAGES,
@@ -649,10 +684,18 @@ ORACLE: dict[str, str] = {
         FROM files GROUP BY patient_id, study_instance_uid""",
     "agg_manifest_files": f"""WITH {_FILES} SELECT {_MANIFEST_ID} AS manifest_id, file_path, file_size,
         md5(file_path) AS checksum FROM files""",
-    "agg_manifest_documents": f"""WITH {_FILES} SELECT {_MANIFEST_ID} AS manifest_id,
-        ('0x' || md5(file_path)[1:4])::INTEGER % 3 AS part, 3 AS parts, count(*) AS part_files, sum(file_size)::BIGINT AS part_size_bytes,
-        string_agg(file_path, ',' ORDER BY file_path) AS paths FROM files
-        GROUP BY patient_id, study_instance_uid, ('0x' || md5(file_path)[1:4])::INTEGER % 3""",
+    "agg_manifest_documents": f"""WITH {_numbered(3)} SELECT {_MANIFEST_ID} AS manifest_id, part, parts, count(*) AS part_files,
+        sum(file_size)::BIGINT AS part_size_bytes, string_agg(file_path, ',' ORDER BY file_path) AS paths
+        FROM numbered GROUP BY patient_id, study_instance_uid, part, parts""",
+    "val_manifest_array": f"""WITH {_numbered(4)}, listed AS (SELECT {_MANIFEST_ID} AS manifest_id, part, count(*) AS n_files,
+        regexp_extract(study_instance_uid, '([0-9]+)$', 1)::BIGINT AS k FROM numbered GROUP BY patient_id, study_instance_uid, part)
+        SELECT manifest_id, part, n_files, codes AS error_codes, codes = '' AS is_valid FROM (SELECT *, concat_ws(',',
+        CASE WHEN k % 13 = 0 THEN 'D7' END, CASE WHEN k % 17 = 0 THEN 'F1' END, CASE WHEN k % 19 = 0 THEN 'F2' END,
+        CASE WHEN k % 23 = 0 THEN 'F3' END) AS codes FROM listed)""",
+    "agg_manifest_grants": f"""WITH {_FILES}, granted AS (SELECT DISTINCT 'raw/study-' || l_orderkey || '/' || l_linenumber || '-'
+        || l_partkey || '-' || l_suppkey || '.dcm' AS k FROM lineitem WHERE l_partkey % 5 <> 0)
+        SELECT {_MANIFEST_ID} AS manifest_id, file_path, CASE WHEN k IS NOT NULL THEN 'https://delivery/' || file_path END AS presigned_url,
+        CASE WHEN k IS NOT NULL THEN '2025-01-01T01:00:00Z' END AS url_expiration FROM files LEFT JOIN granted ON k = file_path""",
     "agg_metric_rollup": f"""SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), {_SECONDS}) AS period_start,
         strftime(time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR, {_SECONDS}) AS period_end,
         'MedicalImaging/Pipeline' AS namespace, event_type AS name, sum(value::DECIMAL(28, 6))::DOUBLE AS total,
@@ -750,3 +793,5 @@ ORACLE: dict[str, str] = {
 for _name in ("src_list_objects", "src_log_events", "top_failed_operations", "run_list"):
     ORACLE[f"{_name}_all"] = ORACLE[_name][: ORACLE[_name].rindex("ORDER BY")]
 ORACLE["src_stream_arrivals"] = ORACLE["src_arrivals"]
+ORACLE["src_json_large"] = ORACLE["src_csv_large"]
+ORACLE["stream_pipeline_metrics"] = ORACLE["snk_run_metrics"]

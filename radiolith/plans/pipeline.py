@@ -1,33 +1,35 @@
 """The whole flow over instances: extract, validate, de-identify, route.
 
-One lazy plan without a shuffle and one pass over the input: every row is written once,
-into the folder of its outcome.
+One lazy plan and one pass over the input: every row is judged where it lies, dealt out by its folder and written once;
+the run's metrics are counted on the way.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from radiolith.operators.accounting import STAGE_STATUS
 from radiolith.operators.deid import deidentify_all
 from radiolith.operators.extract import BASE_FIELDS, CT_FIELDS, MR_FIELDS
 from radiolith.operators.rules import validate_metadata, validate_side_metadata
-from radiolith.sources.sinks import append, metric_rows
+from radiolith.plans.metrics import RunMetrics
+from radiolith.sources.sinks import append, modality_group, write_partitioned
 
 DELIVERED, QUARANTINED, FAILED = "delivered", "quarantined", "failed"
 _VERDICT = ("parse_error", "error_codes", "failure", "outcome")
 _OPEN = ("path", "length", "modificationTime", "SOPInstanceUID", *_VERDICT)
 
 
-def routed(instances: DataFrame, salt: str, **options) -> DataFrame:
+def routed(instances: DataFrame, salt: str, metrics: RunMetrics | None = None, **options) -> DataFrame:
     """Every instance with its outcome; only delivered rows carry (de-identified) header values.
 
     A row is quarantined if its header cannot be read or breaks a rule, and failed if it
     cannot be de-identified.
     """
     judged = validate_metadata(instances, {**BASE_FIELDS, **CT_FIELDS, **MR_FIELDS}).drop("is_valid")
-    treated = deidentify_all(judged, salt, keep=_VERDICT, **options)
+    # Rows that can't be de-identified lose their header values, but are counted under their modality.
+    judged = judged.withColumn("_group", modality_group(F.col("Modality")))
+    treated = deidentify_all(judged, salt, keep=(*_VERDICT, "_group"), **options)
     unreadable = F.col("parse_error").isNotNull() if "parse_error" in instances.columns else F.lit(False)
     outcome = (
         F.when(unreadable | (F.col("error_codes") != ""), QUARANTINED)
@@ -35,43 +37,48 @@ def routed(instances: DataFrame, salt: str, **options) -> DataFrame:
         .otherwise(DELIVERED)
     )
     with_outcome = treated.withColumn("outcome", outcome).drop("date_shift_days")
+    if metrics is not None:
+        with_outcome = metrics.watch(with_outcome, unreadable)
     return with_outcome.select(
         *[
             F.col(name) if name in _OPEN else F.when(F.col("outcome") == DELIVERED, F.col(name)).alias(name)
             for name in with_outcome.columns
+            if name != "_group"
         ]
     )
 
 
-def stage_rows(instances: DataFrame, salt: str, **options) -> DataFrame:
-    """The first attempt at each stage: ``key``, ``stage``, ``status`` and ``attempt``, in one pass over the instances."""
-    names = {**BASE_FIELDS, **CT_FIELDS, **MR_FIELDS}
-    ingested = validate_metadata(instances, names).withColumnRenamed("is_valid", "ingested").drop("error_codes")
-    checked = validate_side_metadata(ingested, names).withColumnRenamed("is_valid", "checked").drop("error_codes")
-    treated = deidentify_all(checked, salt, keep=("ingested", "checked"), **options)
-    passed = {"ingestion": F.col("ingested"), "validation": F.col("checked"), "deidentification": F.col("failure").isNull()}
-    stages = [
-        F.struct(F.lit(stage).alias("stage"), F.when(passed[stage], good).otherwise(bad).alias("status"))
-        for stage, (good, bad) in STAGE_STATUS.items()
-    ]
-    rows = treated.select(F.col("path").alias("key"), F.explode(F.array(*stages)).alias("s"))
-    return rows.select("key", "s.stage", "s.status", F.lit(1).alias("attempt"))
-
+def stage_outcomes(instances: DataFrame, salt: str, version: str, **options) -> DataFrame:
+    """The first attempt of every upload at the three stages: ``key``, ``version``, ``attempt`` and a boolean for each.
 
-def write_routed(instances: DataFrame, target: str, salt: str, **options) -> None:
-    """Write each instance into ``outcome=…/Modality=…`` below the target, replacing what is there."""
-    routed(instances, salt, **options).write.mode("overwrite").partitionBy("outcome", "Modality").parquet(target)
+    One pass over the instances; ``version`` names the column that tells uploads under one key apart.
+    """
+    names = {**BASE_FIELDS, **CT_FIELDS, **MR_FIELDS}
+    ingested = validate_metadata(instances.withColumn("version", F.col(version)), names)
+    ingested = ingested.withColumnRenamed("is_valid", "ingestion").drop("error_codes")
+    checked = validate_side_metadata(ingested, names).withColumnRenamed("is_valid", "validation").drop("error_codes")
+    treated = deidentify_all(checked, salt, keep=("version", "ingestion", "validation"), **options)
+    return treated.select(
+        F.col("path").alias("key"),
+        "version",
+        F.lit(1).alias("attempt"),
+        "ingestion",
+        "validation",
+        F.col("failure").isNull().alias("deidentification"),
+    )
 
 
-def outcome_metrics(written: DataFrame, at=None) -> DataFrame:
-    """Files per outcome as metric points. Over a written target this reads partition folders only."""
-    counted = written.groupBy("outcome").agg(F.count("*").alias("files"))
-    return metric_rows(
-        counted, "MedicalImaging/Pipeline", F.lit("Files"), F.col("files"), "Count", {"Outcome": F.col("outcome")}, at
-    )
+def write_routed(
+    instances: DataFrame, target: str, salt: str, metrics: RunMetrics | None = None, mode: str = "overwrite",
+    marks: dict[str, Column] | None = None, **options,
+) -> None:
+    """Write each instance into ``outcome=…/modality_group=…`` below the target; ``marks`` are further columns."""
+    rows = routed(instances, salt, metrics, **options).withColumn("modality_group", modality_group(F.col("Modality")))
+    write_partitioned(rows.withColumns(marks or {}), target, ["outcome", "modality_group"], mode)
 
 
-def run_batch(instances: DataFrame, target: str, metrics_target: str, salt: str, **options) -> None:
-    """The batch job: route all instances, then append the counts to the metric table."""
-    write_routed(instances, target, salt, **options)
-    append(outcome_metrics(instances.sparkSession.read.parquet(target)), metrics_target)
+def run_batch(instances: DataFrame, target: str, metrics_target: str, salt: str, at=None, **options) -> None:
+    """The batch job: route all instances, and append the counts of that pass to the metric table."""
+    metrics = RunMetrics()
+    write_routed(instances, target, salt, metrics, **options)
+    append(metrics.points(instances.sparkSession, at), metrics_target)

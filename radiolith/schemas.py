@@ -157,7 +157,8 @@ ARRIVAL_EVENT = _struct(
             eventVersion=_TEXT,
             eventSource=_TEXT,
             eventName=_TEXT,
-            s3=_struct(bucket=_struct(name=_TEXT), object=_struct(key=_TEXT, size=_LONG)),
+            eventTime=_TIME,
+            s3=_struct(bucket=_struct(name=_TEXT), object=_struct(key=_TEXT, size=_LONG, versionId=_TEXT)),
         )
     )
 )
@@ -166,15 +167,3 @@ LOG_EVENTS = _struct(log_group=_TEXT, log_stream=_TEXT, ts=_TIME, message=_TEXT,
 EXECUTION_LOG = _struct(
     ts=_TIME, operation=_TEXT, status=_TEXT, details=_TEXT_MAP, error=_struct(type=_TEXT, message=_TEXT)
 )
-MANIFEST = _struct(
-    manifest_id=_TEXT,
-    created_at=_TEXT,
-    patient_id=_TEXT,
-    study_instance_uid=_TEXT,
-    total_files=_INT,
-    total_size_bytes=_LONG,
-    files=T.ArrayType(
-        _struct(file_path=_TEXT, file_size=_LONG, checksum=_TEXT, presigned_url=_TEXT, url_expiration=_TEXT)
-    ),
-    metadata=_TEXT_MAP,
-)

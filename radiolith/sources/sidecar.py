@@ -15,7 +15,7 @@ from radiolith.schemas import CSV_RECORD, JSON_STUDY, XML_STUDY
 CORRUPT = "_corrupt_record"
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
+def with_corrupt(schema: T.StructType) -> T.StructType:
     if CORRUPT in schema.names:
         return schema
     return T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
@@ -33,7 +33,7 @@ def read_csv(
     """CSV with a header row; blank cells are NULL. Quoted cells may hold line breaks, so a file is one task;
     where they do not, ``multi_line=False`` lets Spark split files."""
     return (
-        spark.read.schema(_with_corrupt(schema))
+        spark.read.schema(with_corrupt(schema))
         .option("header", "true")
         .option("sep", delimiter)
         .option("encoding", encoding)
@@ -59,7 +59,7 @@ def read_json(
     document per line (``one_per_line``), which splits.
     """
     return (
-        spark.read.schema(_with_corrupt(schema))
+        spark.read.schema(with_corrupt(schema))
         .option("multiLine", str(not one_per_line).lower())
         .option("encoding", encoding)
         .option("mode", mode)
@@ -84,7 +84,7 @@ def read_xml(
     """
     return (
         spark.read.format("xml")
-        .schema(_with_corrupt(schema))
+        .schema(with_corrupt(schema))
         .option("rowTag", row_tag)
         .option("multiLine", str(whole_documents).lower())
         .option("encoding", encoding)

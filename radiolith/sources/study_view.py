@@ -167,8 +167,9 @@ def instances(spark: SparkSession, sf_dir: str) -> DataFrame:
 def as_instances(lines: DataFrame, studies: DataFrame, patients: DataFrame) -> DataFrame:
     """``instances`` over given (batch or streaming) lines.
 
-    The small dimension joins first, so the large side is shuffled once at most; adaptive
-    execution picks broadcast by measured size and splits a hot study or patient.
+    The small dimension joins first, so the large side is shuffled once. Lines and studies are joined by sort and
+    merge at every size: neither is small on a cluster, and a broadcast of few lines would leave one task per studies
+    file; adaptive execution splits a hot study.
     """
     made = instance_columns()
     columns = [object_key().alias("path")]
@@ -176,7 +177,7 @@ def as_instances(lines: DataFrame, studies: DataFrame, patients: DataFrame) -> D
     columns += [made[tag].alias(tag) for tag in INTEGER_TAGS]
     columns += [made[name].alias(name) for name in ("PixelSpacing", "has_pixel_data", "tags", "private_tags")]
     dated = studies.join(patients, F.col("o_custkey") == F.col("c_custkey"))
-    joined = lines.join(dated, F.col("l_orderkey") == F.col("o_orderkey"))
+    joined = lines.join(dated.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
     return joined.select(*columns)
 
 
@@ -277,12 +278,16 @@ def as_arrival_events(pages: DataFrame) -> DataFrame:
         F.lit("in+box/"), F.url_encode(F.col("url")), F.when(F.col("page_id") % 3 != 0, ".dcm").otherwise(".txt")
     )
 
+    size, version = F.length("html").cast("bigint"), F.concat(F.lit("v"), _text(F.col("page_id")))
+    moment = F.timestamp_add("SECOND", (F.col("page_id") % 600).cast("int"), F.lit("2024-01-01").cast("timestamp"))
+
     def record(name: Column) -> Column:
         return F.struct(
             F.lit("ObjectCreated:Put").alias("eventName"),
+            F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("eventTime"),
             F.struct(
                 F.struct(F.lit("incoming").alias("name")).alias("bucket"),
-                F.struct(name.alias("key"), F.length("html").cast("bigint").alias("size")).alias("object"),
+                F.struct(name.alias("key"), size.alias("size"), version.alias("versionId")).alias("object"),
             ).alias("s3"),
         )
 

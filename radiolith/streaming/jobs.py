@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from radiolith.operators.accounting import alarms
-from radiolith.plans.pipeline import outcome_metrics, write_routed
+from radiolith.plans.metrics import RunMetrics
+from radiolith.plans.pipeline import write_routed
 from radiolith.schemas import FILE_FIELDS
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -27,23 +30,33 @@ def arriving_files(spark: SparkSession, path: str, suffix: str = ".dcm", per_bat
     return (reader if per_batch is None else reader.option("maxFilesPerTrigger", per_batch)).load(path)
 
 
+COMMITS = "query_id string, batch_id bigint, write_id string"
+
+
 def start_pipeline(
-    instances: DataFrame, target: str, checkpoint: str, salt: str, trigger: dict | None = None,
-    metrics: str | None = None, **options,
-) -> StreamingQuery:
-    """Route arriving instances as the batch job does, one folder per micro-batch.
+    instances: DataFrame, target: str, checkpoint: str, salt: str, trigger: dict | None = None, at=None, **options
+) -> StreamingQuery:
+    """Route arriving instances as the batch job does, into ONE table and ONE metric table below the target.
 
-    A batch that is run again after a failure overwrites its own folder, so every instance
-    is written exactly once. With a ``metrics`` folder, so are the batch's outcome counts.
+    Every micro-batch writes under a new ``write_id`` and commits it when rows and metrics are written. What a batch
+    that died has left behind carries an id that is never committed; a batch that comes again after its commit is not
+    written again. So ``committed`` shows every instance and every metric point exactly once.
     """
+    spark = instances.sparkSession
+    log = f"{target}/commits"
+    spark.createDataFrame([], COMMITS).write.mode("append").parquet(log)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        routed_to = f"{target}/batch_id={batch_id}"
-        write_routed(batch, routed_to, salt, **options)
-        if metrics:
-            # The schema is given: a batch without rows leaves no file to take it from.
-            written = batch.sparkSession.read.schema("outcome string").parquet(routed_to)
-            outcome_metrics(written).write.mode("overwrite").parquet(f"{metrics}/batch_id={batch_id}")
+        session = batch.sparkSession
+        query_id = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        done = session.read.schema(COMMITS).parquet(log).where((F.col("query_id") == query_id) & (F.col("batch_id") == batch_id))
+        if not done.isEmpty():
+            return
+        write_id, metrics = uuid.uuid4().hex, RunMetrics()
+        marks = {"write_id": F.lit(write_id)}
+        write_routed(batch, f"{target}/data", salt, metrics, "append", marks, **options)
+        metrics.points(session, at).withColumns(marks).write.mode("append").parquet(f"{target}/metrics")
+        session.createDataFrame([(query_id, batch_id, write_id)], COMMITS).write.mode("append").parquet(log)
 
     return (
         instances.writeStream.foreachBatch(write)
@@ -53,6 +66,12 @@ def start_pipeline(
     )
 
 
+def committed(spark: SparkSession, target: str, table: str = "data") -> DataFrame:
+    """The rows (``data``) or metric points (``metrics``) of committed micro-batches."""
+    log = spark.read.schema(COMMITS).parquet(f"{target}/commits")
+    return spark.read.parquet(f"{target}/{table}").join(log.select("write_id"), "write_id", "left_semi").drop("write_id")
+
+
 def failure_sums(points: DataFrame, period: str = "5 minutes", lateness: str = "10 minutes") -> DataFrame:
     """Sum and number of points per period and metric; a period takes points until it is ``lateness`` old."""
     return (

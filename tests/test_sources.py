@@ -1,5 +1,7 @@
 """Side files, keys, required fields, merging and delivery on small fixtures."""
 
+import hashlib
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -8,7 +10,7 @@ from pyspark.sql import types as T
 from radiolith.functions import keys
 from radiolith.operators import accounting, deid, delivery, extract, integrity, merge, structural
 from radiolith.schemas import INSTANCES
-from radiolith.sources import objects, sidecar
+from radiolith.sources import objects, sidecar, sinks, stores
 
 
 def test_csv(spark, tmp_path):
@@ -103,8 +105,8 @@ def test_required_fields(spark):
 
 def test_merge_overrides_by_presence(spark):
     primary = spark.createDataFrame([(1, "CT", "x"), (2, "MR", "y"), (2, "MR", "y")], "id int, modality string, note string")
-    side = spark.createDataFrame([(2, None, "new")], "id int, modality string, extra string")
-    merged = merge.merge_metadata(primary, [side], ["id"]).orderBy("id").collect()
+    side = spark.createDataFrame([(2, "XR", "a"), (2, None, "new")], "id int, modality string, extra string")
+    merged = merge.merge_metadata(primary, [(side, "extra")], ["id"]).orderBy("id").collect()
     assert [tuple(r) for r in merged] == [(1, "CT", "x", None), (2, None, "y", "new"), (2, None, "y", "new")]
 
 
@@ -127,19 +129,23 @@ def test_verify_transfer_is_null_safe(spark):
     assert found == {"a": True, "b": False, "c": False, "d": False}
 
 
-def test_studies_are_cut_into_parts(spark):
+def test_studies_are_numbered_into_documents(spark):
     files = spark.range(5_000).select(
         F.lit("P").alias("patient_id"),
         F.when(F.col("id") < 4_000, "1.big").otherwise(F.concat(F.lit("1."), (F.col("id") % 100).cast("string"))).alias("study_instance_uid"),
-        F.col("id").cast("string").alias("file_path"),
+        F.format_string("%05d", F.col("id") % 4_990).alias("file_path"),  # ten paths come twice
         F.lit(1).cast("long").alias("file_size"),
         F.md5(F.col("id").cast("string")).alias("checksum"),
-    )
-    rows = delivery.manifest_documents(files, F.lit("2025-01-01T00:00:00Z"), parts=40).collect()
-    big = [r for r in rows if r["study_instance_uid"] == "1.big"]
-    assert len(big) == 40 and max(r["part_files"] for r in big) < 200 and {r["parts"] for r in rows} == {40}
-    paths = [f["file_path"] for r in rows for f in r["files"]]
-    assert len(paths) == len(set(paths)) == 5_000
+    ).repartition(7)
+    rows = delivery.manifest_documents(files, F.lit("2025-01-01T00:00:00Z"), max_files=30).collect()
+    big = sorted((r for r in rows if r["study_instance_uid"] == "1.big"), key=lambda r: r["part"])
+    assert [r["part"] for r in big] == list(range(134)) and {r["parts"] for r in big} == {134}
+    assert [r["part_files"] for r in big] == [30] * 133 + [10]
+    paths = [f["file_path"] for r in big for f in r["files"]]
+    assert paths == sorted(paths) and len(paths) == 4_000
+    assert sum(r["part_size_bytes"] for r in rows) == 5_000 and max(r["part_files"] for r in rows) == 30
+    empty = delivery.manifest_documents(files.limit(0), F.lit("x"), max_files=30)
+    assert empty.count() == 0
 
 
 def test_manifest_ids_keep_pairs_apart(spark):
@@ -170,3 +176,83 @@ def test_secure_grant_can_skip_the_check(spark):
     row = delivery.secure_grants(requests, None, "bucket", validate_exists=False, issued_at="2025-01-01 00:00:00").first()
     assert row["grant"]["response_content_disposition"] == 'attachment; filename="b.dcm"'
     assert row["grant"]["response_content_type"] == "application/dicom" and row["grant"]["expires_in"] == 3600
+
+
+def test_events_get_the_upload_before_them(spark):
+    """Against a plain search; one key holds half of all rows, over many days."""
+    import random
+
+    pick = random.Random(1)
+    moments = lambda n: [(pick.choice(["hot", "hot", "a", "b", None]), pick.choice([None] + [3600 * h for h in range(400)]), i) for i in range(n)]
+    uploads, events = moments(150), moments(400)
+    frame = lambda rows, name: spark.createDataFrame(rows, f"key string, s long, {name} long").selectExpr("key", "timestamp_seconds(s) AS at", name)
+    got = {r["event"]: r["version"] for r in merge.as_of(frame(events, "event"), frame(uploads, "version"), ["key"]).collect()}
+    for key, at, number in events:
+        before = [(s, v) for k, s, v in uploads if k is not None and s is not None and k == key and at is not None and s <= at]
+        assert got[number] == (max(before)[1] if before else None)
+    assert len(got) == 400 and merge.as_of(frame(events, "event"), frame([], "version"), ["key"]).where("version is not null").count() == 0
+
+
+def test_two_uploads_that_fail_one_stage_each_never_succeed(spark):
+    rows = [("k", v, s, status, 1) for v, bad in (("v1", "ingestion"), ("v2", "validation")) for s, (good, wrong) in accounting.STAGE_STATUS.items() for status in [wrong if s == bad else good]]
+    rows += [("again", "v", "ingestion", "failed", 1), ("again", "v", "ingestion", "success", 2), ("again", "v", "validation", "valid", 1), ("again", "v", "deidentification", "success", 1)]
+    rows += [("tie", "v", "ingestion", "success", 1), ("tie", "v", "ingestion", "failed", 1)]
+    stacked = spark.createDataFrame(rows, "key string, version string, stage string, status string, attempt int")
+    found = {(r["key"], r["version"]): r["status"] for r in accounting.stacked_results(stacked).collect()}
+    assert found == {("k", "v1"): "FAILED", ("k", "v2"): "FAILED", ("again", "v"): "SUCCESS", ("tie", "v"): "FAILED"}
+    stages = [stacked.where(F.col("stage") == s) for s in accounting.STAGE_STATUS]
+    assert sorted(accounting.pipeline_results(*stages).collect()) == sorted(accounting.stacked_results(stacked).collect())
+
+
+def test_runs_under_one_key_count_each(spark):
+    wide = spark.createDataFrame([("k", "v1", 1, True, True, True), ("k", "v2", 1, True, False, True), ("k", "v2", 2, True, True, True)], "key string, version string, attempt int, ingestion boolean, validation boolean, deidentification boolean")
+    found = {r["metric_name"]: r["count"] for r in accounting.handler_outcomes(wide).collect()}
+    assert found == {"IngestionSuccess": 3, "ValidationSuccess": 2, "ValidationFailure": 1, "DeidentificationSuccess": 3, "PipelineSuccess": 2}
+
+
+def test_folders_are_a_closed_set(spark, tmp_path):
+    judged = spark.range(3000).select(
+        F.element_at(F.array(*[F.lit(m) for m in ("CT", "a/b", "..", "mr", "")]), (F.col("id") % 5 + 1).cast("int")).alias("modality"),
+        F.col("id").cast("string").alias("path"), F.lit("P").alias("patient_id"), F.lit("1").alias("study_instance_uid"),
+        F.lit(True).alias("is_valid"), F.lit("").alias("error_codes"),
+    ).repartition(40)
+    sinks.write_validated(judged, str(tmp_path / "out"))
+    assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == ["modality_group=CT", "modality_group=MR", "modality_group=OTHER"]
+    assert len(list((tmp_path / "out").rglob("part-*.parquet"))) <= 3 + 8
+    kept = spark.read.parquet(str(tmp_path / "out")).groupBy("modality").count().collect()
+    assert {r["modality"]: r["count"] for r in kept} == {"CT": 600, "A/B": 600, "..": 600, "MR": 600, "": 600}
+
+
+def test_tree_is_listed_level_by_level(spark, tmp_path):
+    for name in ("a.txt", "x/b.txt", "x/y/z/c.txt", "x/y/d.bin", "empty/.hidden"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    (tmp_path / "nothing").mkdir()
+    found = objects.object_listing(spark, str(tmp_path), with_etag=True).collect()
+    assert sorted((r["key"], r["size"]) for r in found) == sorted((n, len(n)) for n in ("a.txt", "x/b.txt", "x/y/z/c.txt", "x/y/d.bin", "empty/.hidden"))
+    assert {r["etag"] for r in found if r["key"] == "a.txt"} == {hashlib.md5(b"a.txt").hexdigest()}
+    assert objects.object_listing(spark, f"file://{tmp_path}", pattern="*.txt").count() == 3
+    assert objects.object_listing(spark, str(tmp_path / "nothing")).count() == 0
+    assert stores.list_tree(spark, str(tmp_path / "a.txt")).count() == 1
+    with pytest.raises(AnalysisException):
+        stores.list_tree(spark, str(tmp_path / "none"))
+
+
+def test_objects_stay_below_their_root(spark, tmp_path):
+    rows = spark.createDataFrame([("a/b.bin", b"12"), ("c", None)], "key string, content binary")
+    assert sorted(map(tuple, stores.put_objects(rows, str(tmp_path / "o")).collect())) == [("a/b.bin", 2), ("c", 0)]
+    assert (tmp_path / "o" / "a" / "b.bin").read_bytes() == b"12"
+    for key in ("../x", "a/../../x", "", "/abs"):
+        with pytest.raises(Exception, match="not a key"):
+            stores.put_objects(spark.createDataFrame([(key, b"")], "key string, content binary"), str(tmp_path / "o"))
+
+
+def test_notifications_that_come_twice(spark, tmp_path):
+    schema = "bucket string, key string, version string, event_time timestamp, n long"
+    for _ in range(2):
+        spark.range(50).selectExpr("'b' AS bucket", "'k' || id % 10 AS key", "'v' || id % 5 AS version", "timestamp_seconds(id) AS event_time", "id AS n").write.mode("append").parquet(str(tmp_path / "in"))
+        read = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
+        stream = objects.distinct_arrivals(read).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        stream.awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 10 == objects.distinct_arrivals(spark.read.parquet(str(tmp_path / "in"))).count()
