@@ -12,7 +12,7 @@ task never holds more than the open bins or the remains of ``FAN_IN`` tasks. Eac
 reads it, so that a lost executor repeats whole tasks of one level and never half a sequence.
 
 Defined cases: a null text counts as empty; an empty text is one piece with the end token alone; a text of any
-length is tokenised in stretches cut between two words, where ids can't differ from those of the whole; only
+length is tokenised in stretches cut before a word, where ids can't differ from those of the whole; only
 documents above the capacity are cut, their first piece is the short one; rows that repeat are packed each; a null
 id stays null; an empty table gives no rows; columns of other names are not read by ``pack_documents`` and are
 passed on by ``pack``, where a column named ``sequence_id`` or ``offset`` raises ``ValueError``, as does a length
@@ -21,13 +21,16 @@ that is null, negative or above the capacity.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,44 +42,80 @@ from radiolith.llm.common import stored
 CAPACITY, END_ID = 2048, 0
 OPEN_BINS, CARRY, FAN_IN = 1024, 64, 64
 #: Texts are tokenised in stretches of about so many characters; so many words keep their ids in a task.
-STRETCH, REMEMBERED = 1 << 20, 1 << 18
+STRETCH, REMEMBERED = 1 << 20, 3 << 17
+#: Bytes of text whose words are told apart together.
+SHARE = 8 << 20
 #: Sequence ids: level, task and number in the task.
 _LEVEL, _TASK = 1 << 60, 1 << 36
 
-#: A space between two characters that are not white: no token of the byte-level pattern reaches over its front.
-_BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-_UNEVEN = re.compile(r"[^\S ]| {2}|^ | $")
-
-
-class WordEncoder:
+#: A word with the white space before it. White space ends any token of the byte-level pattern, so none reaches over the
+#: end of a word; in texts with rarer white space only the places between two plain words count.
+_WORD = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+_RARE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_BETWEEN = re.compile(r"(?<=\S)(?= \S)")
+#: What the byte-level pre-tokenizer cuts a text into (fixed by the public tokenizer); ids belong to these parts.
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+_MARKS = ".,;:!?%$&"
+#: The character that stands for a byte in the vocabulary: printable ones for themselves, others from 256 on.
+_PRINTED = [b for b in range(256) if 33 <= b <= 126 or (161 <= b and b != 173)]
+_CHARS = [chr(b) if b in _PRINTED else chr(256 + sum(c not in _PRINTED for c in range(b))) for b in range(256)]
+
+
+def _parts(word: str) -> list[str]:
+    """The pre-tokenizer's parts of one word; the usual shapes are told without a pattern."""
+    body = word[1:] if word[0] == " " else word
+    if body.isalpha():
+        return [word]
+    stem = body.rstrip(_MARKS)
+    if stem.isalpha():
+        return [word[: len(word) - len(body) + len(stem)], body[len(stem) :]]
+    return _PARTS.findall(word)
+
+
+class WordEncoder(dict):
     """Ids of a text by a byte-level tokenizer, as little-endian unsigned 32-bit integers.
 
-    A word's ids don't depend on its neighbours, so those of words met before are kept and only new words go to
-    the tokenizer. Control strings in a text count as the tokenizer file says, unless ``as_text``.
+    The pre-tokenizer's parts don't depend on their neighbours, so ids of words and parts met lately are kept, in two
+    generations, and only other parts go to the tokenizer's model. A text with a control string goes to the tokenizer as a
+    whole, unless such strings count as text.
     """
 
     def __init__(self, tokenizer: str, as_text: bool = False, remembered: int = REMEMBERED):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.tokenizer, self.remembered, self.known = Tokenizer.from_str(tokenizer), remembered, {}
-        self.tokenizer.encode_special_tokens = as_text
-
-    def _learn(self, text_words: set[str]) -> None:
-        words = sorted(text_words.difference(self.known))
-        if words and len(self.known) + len(words) > self.remembered:
-            self.known, words = {}, sorted(text_words)
-        for at in range(0, len(words), 4096):
-            some = words[at : at + 4096]
-            for word, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+        spec = json.loads(tokenizer)
+        before = spec["pre_tokenizer"] or {}
+        if spec["normalizer"] or before.get("type") != "ByteLevel" or before["add_prefix_space"] or not before.get("use_regex", True):
+            raise ValueError("the tokenizer must be byte-level, without normalizer and prefix space")
+        self.tokenizer, self.remembered, self.older = Tokenizer.from_str(tokenizer), remembered, {}
+        self.model = self.tokenizer.model
+        self.control = [] if as_text else [t["content"] for t in spec["added_tokens"]]
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            parts = _parts(word)
+            if len(parts) > 1:
+                met = parts[0] in self
+                ids = b"".join([self[part] for part in parts])
+                if not met:  # a word met once with a mark is seldom met so again
+                    return ids
+            else:
+                if word.isascii() and word.isprintable():
+                    chars = word.replace(" ", _CHARS[32])
+                else:
+                    chars = "".join(map(_CHARS.__getitem__, word.encode()))
+                ids = array("I", [token.id for token in self.model.tokenize(chars)]).tobytes()
+        if len(self) >= self.remembered:
+            self.older = self.copy()
+            self.clear()
+        self[word] = ids
+        return ids
 
     def stretch(self, text: str) -> bytes:
-        if _UNEVEN.search(text):
-            first, *rest = _BETWEEN.split(text)
-        else:
-            first, *rest = text.split(" ")
-        words = [first, *map(" ".__add__, rest)]
-        self._learn(set(words))
-        return b"".join(map(self.known.__getitem__, words))
+        if any(control in text for control in self.control):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        words = _BETWEEN.split(text) if _RARE.search(text) else _WORD.findall(text)
+        return b"".join(map(self.__getitem__, words)) if text else b""
 
     def __call__(self, text: str) -> bytes:
         if len(text) <= STRETCH:
@@ -90,31 +129,88 @@ class WordEncoder:
         return b"".join(out)
 
 
+#: What a text must not have to be cut at single spaces and line breaks: of a longer run of white space all but the last
+#: character is one token. A zero byte marks the first word.
+_IRREGULAR = "[ \\n]{3}|[ \\n]{2}$|[\\x00\\t\\r\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
+def encode_texts(encoder: WordEncoder, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, one behind the other, and where each starts; null counts as empty.
+
+    Words are cut and told apart by Arrow, so that only distinct ones are looked up; their ids are put in place at once.
+    """
+    texts = pc.fill_null(texts, "")
+    odd = pc.or_(pc.match_substring_regex(texts, _IRREGULAR), pc.greater(pc.utf8_length(texts), STRETCH))
+    for control in encoder.control:
+        odd = pc.or_(odd, pc.match_substring(texts, control))
+    plain = pc.replace_substring(pc.if_else(odd, "", texts), "\n", " \n")
+    parts = pc.split_pattern(pc.binary_join_element_wise("\0", plain, ""), " ")
+    coded = pc.dictionary_encode(parts.flatten())
+    found = [encoder[w[1:]] if w[:1] == "\0" and len(w) > 1 else b"" if w == "\0" else encoder[w if w[:1] == "\n" else " " + w] for w in coded.dictionary.to_pylist()]
+    lengths = np.fromiter(map(len, found), np.int64, len(found)) // 4
+    flat, firsts = np.frombuffer(b"".join(found), "<u4"), np.cumsum(lengths) - lengths
+    words = coded.indices.to_numpy()
+    counts = lengths[words]
+    ends = np.cumsum(counts)
+    ids = flat[np.repeat(firsts[words] - ends + counts, counts) + np.arange(ends[-1] if len(ends) else 0)]
+    word_starts = parts.offsets.to_numpy()
+    starts = np.concatenate([[0], ends])[word_starts - word_starts[0]]
+    if not pc.any(odd).as_py():
+        return ids, starts
+    own = [ids[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+    for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+        own[i] = np.frombuffer(encoder(texts[i].as_py()), "<u4")
+    return np.concatenate(own), np.concatenate([[0], np.cumsum([len(o) for o in own])])
+
+
+#: A worker's encoder, kept from task to task.
+_ENCODERS: dict[tuple[int, bool], WordEncoder] = {}
+
+
+def _encoder(tokenizer: str, as_text: bool) -> WordEncoder:
+    key = (hash(tokenizer), as_text)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = WordEncoder(tokenizer, as_text)
+    return _ENCODERS[key]
+
+
 def _pieces(batches: Iterable[pa.RecordBatch], encoder: WordEncoder, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     """Documents (id, text) to pieces, in batches of bounded size."""
-    end, rows, held = np.array([end_id], "<u4").tobytes(), [], 0
+    end = np.array([end_id], "<u4").tobytes()
     for batch in batches:
-        ids, texts = batch.column(0), batch.column(1)
-        for i in range(batch.num_rows):
-            tokens = encoder(texts[i].as_py() or "") + end
-            n = len(tokens) // 4
-            starts = range(-(-n % capacity), n, capacity) if n > capacity else (0,)
-            for piece, at in enumerate(starts):
-                own = tokens[4 * max(at, 0) : 4 * (at + capacity)] if n > capacity else tokens
-                rows.append((ids[i], piece, max(at, 0), len(own) // 4, own))
-                held += len(own)
-                if held > 1 << 22 or len(rows) >= 4 * OPEN_BINS:
-                    yield _piece_batch(rows, ids.type)
-                    rows, held = [], 0
-    if rows:
-        yield _piece_batch(rows, rows[0][0].type)
-
-
-def _piece_batch(rows: list, kind: pa.DataType) -> pa.RecordBatch:
+        for ids, texts in _shares(batch):
+            rows = []
+            tokens, starts = encode_texts(encoder, texts)
+            for i, (a, b) in enumerate(zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)):
+                own, n = tokens[a:b].tobytes() + end, b - a + 1
+                if n <= capacity:
+                    rows.append((i, 0, 0, n, own))
+                    continue
+                for piece, at in enumerate(range(-(-n % capacity), n, capacity)):
+                    cut = own[4 * max(at, 0) : 4 * (at + capacity)]
+                    rows.append((i, piece, max(at, 0), len(cut) // 4, cut))
+            for at in range(0, len(rows), 2 * OPEN_BINS):
+                yield _piece_batch(ids, rows[at : at + 2 * OPEN_BINS])
+
+
+def _shares(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """A batch in shares of about ``SHARE`` bytes of text, a longer text by itself."""
+    ids, texts = batch.column(0), batch.column(1)
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    start = 0
+    while start < batch.num_rows:
+        before = sizes[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(sizes, before + SHARE, "right")))
+        yield ids.slice(start, stop - start), texts.slice(start, stop - start)
+        start = stop
+
+
+def _piece_batch(ids: pa.Array, rows: list[tuple]) -> pa.RecordBatch:
     doc, piece, start, length, own = zip(*rows, strict=True)
     return pa.RecordBatch.from_arrays(
-        [pa.array([d.as_py() for d in doc], kind), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-         pa.array(length, pa.int64()), pa.array(own, pa.binary())],
+        [ids.take(pa.array(doc, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
+         pa.array(own, pa.binary())],
         names=["id", "piece", "start", "length", "ids"],
     )
 
@@ -267,7 +363,7 @@ def pack_documents(documents: DataFrame, tokenizer: str, id_col: str = "doc_id",
     pieces = StructType([rows.schema["id"]]).add("piece", IntegerType()).add("start", LongType()).add("length", LongType()).add("ids", BinaryType())
 
     def tokenised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _pieces(batches, WordEncoder(sent.value, as_text), capacity, end_id)
+        return _pieces(batches, _encoder(sent.value, as_text), capacity, end_id)
 
     run = _packer("length", capacity, open_bins, CARRY, 0, before=tokenised)
     return _levels(rows.mapInArrow(run, _schema(pieces)), "length", capacity, open_bins).withColumnRenamed("id", id_col)

@@ -1,9 +1,11 @@
 """Packing: ids against the tokenizer itself, places checked piece by piece, waste against best fit by size."""
 
+import random
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -63,6 +65,7 @@ def test_query_against_the_tokenizer(spark, plain):
 
 ODD = [
     None, "", " ", "  ", "\n", " a", "a ", "a  b", "a \n b", "a\tb c", "it's we'll", "x" * 9000, "  a  b", "\x1c a \x85 b",
+    "a\x1c!", "!\x1f ! \x1c?", "a\xa0 b", "a \u3000b c", "a\x0b b", "end. 'S it's, 12. x², y. Ⅷ. é, \u0301. a.\n\nb?! c?", ".", " .", "\t.\r\n!",
     "日本語 テキスト 🙂 🙂", "é " * 3000, "a " * 700000, "word\n" * 5000, "<|endoftext|> a<|endoftext|>b",
 ]
 
@@ -76,9 +79,24 @@ def test_words_by_themselves_have_the_ids_of_the_whole(plain, monkeypatch):
         for text in ODD:
             if stretch > 7 or len(text or "") < 40000:
                 assert np.frombuffer(encoder(text or ""), "<u4").tolist() == ids_of(plain, text)[:-1]
+        assert len(encoder) <= remembered
     assert 50256 not in np.frombuffer(packing.WordEncoder(content, True)("<|endoftext|>"), "<u4").tolist()
 
 
+def test_texts_together_have_the_ids_of_each(plain):
+    pick = random.Random(7)
+    texts = [*ODD, *("".join(pick.choices(["a", "Be", " ", " ", "\n", ".", "é", "'s", "1"], k=pick.randrange(12))) for _ in range(3000))]
+    with open(PATH, encoding="utf-8") as file:
+        encoder = packing.WordEncoder(file.read())
+    for some in (texts, texts[:1], [None], [" "], texts[40:44]):
+        sliced = pa.array(["x", *some, "y"], pa.string()).slice(1, len(some))
+        ids, starts = packing.encode_texts(encoder, sliced)
+        for i, text in enumerate(some):
+            assert ids[starts[i] : starts[i + 1]].tolist() == ids_of(plain, text)[:-1], repr(text)[:100]
+    ids, starts = packing.encode_texts(encoder, pa.array([], pa.string()))
+    assert len(ids) == 0 and starts.tolist() == [0]
+
+
 def test_defined_cases(spark, plain):
     rows = [(i, t) for i, t in enumerate(ODD)] + [(None, "no id"), (3, "again"), (3, "again")]
     documents = spark.createDataFrame(rows, "key long, body string").repartition(5).withColumns(
