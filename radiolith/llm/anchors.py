@@ -11,8 +11,10 @@ q-gram; its *context* spans all windows that own it.
 3. Anchors are counted by bucket and context. Equal contexts settle each other: all their windows repeat. Of each
    context one anchor goes on where its bucket has several contexts, for the operator to compare window by window.
 
-Identifiers are 64-bit polynomial hashes over random tokens; a window is told by two of them and a
-context by its bucket and another, so equality rests on 128 bits.
+Identifiers are two polynomials over random tokens modulo the prime 2**31 - 1, with a base and coefficients of their own:
+62 bits together. Modulo a power of two, texts in a doubling pattern would agree for any base. A window is told by two
+identifiers and a context by its bucket and a chain of them, so two different windows or contexts count as equal with a
+chance of about 2**-120.
 """
 
 from __future__ import annotations
@@ -29,26 +31,39 @@ from radiolith.llm.common import keyed, stored, text_bytes
 
 FILTER_BITS = 1 << 26
 _CHUNK = 1 << 18
-_BASE = 0x9E3779B97F4A7C15
+_PRIME = np.uint64((1 << 31) - 1)
+#: Two bases of the polynomials; a token's low and high bits are the coefficients of one each.
+_BASES = (1_103_515_245, 1_812_433_253)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 _FOLD = np.uint64(0x94D049BB133111EB)
 _POSITION = np.uint64((1 << 20) - 1)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the base and of its inverse modulo 2**64."""
+def _powers(n: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Powers of each base and of its inverse modulo the prime."""
     size = 1 << max(12, (n - 1).bit_length())
     if size not in _POWERS:
-        inverse = pow(_BASE, -1, 1 << 64)
-        with np.errstate(over="ignore"):
-            _POWERS[size] = tuple(
-                np.concatenate(([np.uint64(1)], np.cumprod(np.full(size - 1, b, np.uint64)))).astype(np.uint64)
-                for b in (_BASE, inverse)
-            )
+        _POWERS[size] = [tuple(_row_of_powers(b, size) for b in (base, pow(base, -1, int(_PRIME)))) for base in _BASES]
     return _POWERS[size]
 
 
+def _row_of_powers(base: int, size: int) -> np.ndarray:
+    out = np.ones(size, np.uint64)
+    done, power = 1, base
+    while done < size:  # doubled: the next half is this one times base ** done
+        out[done : 2 * done] = _modulo(out[:done] * np.uint64(power))
+        done, power = 2 * done, power * power % int(_PRIME)
+    return out
+
+
+def _modulo(x: np.ndarray) -> np.ndarray:
+    """Residues modulo 2**31 - 1 of numbers below 2**63, by adding the bits above to those below."""
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    x = (x & _PRIME) + (x >> np.uint64(31))
+    return np.where(x >= _PRIME, x - _PRIME, x)
+
+
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * _MIX
     return x ^ (x >> np.uint64(29))
@@ -59,10 +74,12 @@ def grams(tokens: np.ndarray, gram: int) -> np.ndarray:
     n = len(tokens)
     if n < gram:
         return np.zeros(0, np.uint64)
-    up, down = _powers(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(tokens * up[:n], out=sums[1:])
-    return _mixed((sums[gram:] - sums[: n - gram + 1]) * down[: n - gram + 1])
+    halves = []
+    for half, (up, down) in zip((tokens & _PRIME, tokens >> np.uint64(33)), _powers(n), strict=True):
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(_modulo(half * up[:n]), out=sums[1:])
+        halves.append(_modulo(_modulo(sums[gram:] - sums[: n - gram + 1]) * down[: n - gram + 1]))
+    return _mixed(halves[0] << np.uint64(31) | halves[1])
 
 
 def _sliding_least(values: np.ndarray, width: int) -> np.ndarray:

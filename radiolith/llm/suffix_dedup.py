@@ -1,9 +1,10 @@
-"""Repeated byte strings, by bucket-pointer refinement of suffixes.
+"""Repeated byte strings, by bucket pointers of sampled suffixes.
 
-Suffixes start in buckets of equal q-grams. A bucket is refined by the bucket identifiers found at later offsets of
-its suffixes, and what one refinement settles is reused by the next: equal pointers over a whole
-context settle all its windows, and one suffix of the context stands for it from then on. Only the suffixes
-sampled by ``anchors`` get a bucket in the first place, as a suffix array of every byte would not fit the shuffle.
+Suffixes start in buckets of equal q-grams. A bucket is refined twice by the bucket identifiers found at later offsets of
+its suffixes: over a whole context, which settles all its windows and leaves one suffix to stand for it, and over single
+windows. The method's further rounds, in which updated ranks serve the doubled offset, are not there: two q-grams cover a
+window already. Only the suffixes sampled by ``anchors`` get a bucket in the first place, as a suffix array of every
+byte would not fit the shuffle. Equality is that of identifiers.
 
 Last refinement: a window of 400 bytes is covered by two q-grams, so its pointers at offset 0 and at the last
 q-gram's offset tell it whole. Windows of the suffixes that are left are sorted by the two pointers, and equal

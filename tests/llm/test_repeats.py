@@ -7,6 +7,7 @@ import pytest
 from brute import repeated_bytes, repeated_words
 
 from radiolith.llm import substring_dedup, suffix_dedup
+from radiolith.llm.anchors import grams
 from radiolith.llm.common import table
 
 SF = "/root/testdata/sf0.001"
@@ -87,3 +88,26 @@ def test_automaton_counts():
     for s in sequences:
         want = [i for i in range(len(s) - 3) if windows.count(tuple(s[i : i + 4])) > 1]
         assert automaton.repeated(s, 4, 2) == want
+
+
+def test_texts_in_a_doubling_pattern_are_told_apart(spark):
+    """Modulo a power of two any polynomial takes these for equal."""
+    blocks = ["".join("ab"[bin(i).count("1") % 2] for i in range(64)), "".join("cd"[bin(i).count("1") % 2] for i in range(64)), "".join("ef"[bin(i).count("1") % 2] for i in range(64))]
+    swapped = [b.translate(str.maketrans("abcdef", "badcfe")) for b in blocks]
+    front, behind = "".join(chr(97 + i % 23) for i in range(100)), "".join(chr(97 + i * 7 % 25) for i in range(108))
+    texts = [front + "".join(b) + behind for b in (blocks, swapped)]
+    assert [len(t) for t in texts] == [400, 400] and texts[0] != texts[1]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["n_removed"] for r in suffix_dedup.remove_repeats(frame).collect()] == [0, 0]
+    one, two = (grams(suffix_dedup.byte_tokens(t.encode()), 300) for t in texts)
+    assert not (one == two).any()
+
+
+def test_identifiers_depend_on_the_tokens_alone():
+    pick = np.random.default_rng(3)
+    tokens = pick.integers(0, 1 << 64, 5000, np.uint64)
+    whole = grams(tokens, 300)
+    assert len(np.unique(whole)) == len(whole) == 4701
+    for start in (1, 77, 4000):
+        assert (grams(tokens[start:], 300) == whole[start:]).all()
+    assert len(grams(tokens[:299], 300)) == 0
