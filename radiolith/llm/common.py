@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,16 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_base(spark)}/llm-{purpose}-{uuid.uuid4().hex}"
 
 
+def store_of(folder: str) -> tuple[pafs.FileSystem, str]:
+    """The Arrow file system of a folder and its name there: a plain path, ``file:/x``, ``file:///x`` or a store's URI."""
+    scheme, colon, rest = folder.partition(":")
+    if not colon or "/" in scheme:
+        return pafs.LocalFileSystem(), folder
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(folder)
+
+
 def cut(frame: DataFrame) -> DataFrame:
     """The frame computed once and read back from a reliable checkpoint in the shared folder."""
     spark = frame.sparkSession

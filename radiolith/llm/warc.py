@@ -33,11 +33,10 @@ from dataclasses import dataclass
 
 import pandas as pd
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from radiolith.llm.common import shared_folder, stored, text_bytes, width
+from radiolith.llm.common import shared_folder, store_of, stored, text_bytes, width
 
 BLOCK_ENTRIES = 256
 #: An archive file is closed after so many bytes.
@@ -109,7 +108,7 @@ class Archive:
 
 def _write_files(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+        system, root = store_of(folder)
         out, name = None, None
         try:
             for batch in batches:
@@ -145,7 +144,7 @@ def _write_index(folder: str):
     """Sorted captures to one index file with its directory; yields its first key and path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+        system, root = store_of(folder)
         name, out, directory, entries = f"{uuid.uuid4().hex}.idx", None, [], []
 
         def flush():
@@ -210,7 +209,7 @@ class _IndexFile:
     """An index file open for lookups in the order of keys; keeps the block read last."""
 
     def __init__(self, path: str):
-        system, at = pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
+        system, at = store_of(path)
         with system.open_input_file(f"{at}.dir") as file:
             self.directory = json.loads(gzip.decompress(file.read()))
         self.firsts = [d[0] for d in self.directory]
@@ -273,7 +272,7 @@ def read_records(spark: SparkSession, folder: str, captures: DataFrame, id_type:
     ``payload_digest``, ``record_type``, ``refers_to``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        system, root = pafs.FileSystem.from_uri(folder) if "://" in folder else (pafs.LocalFileSystem(), folder)
+        system, root = store_of(folder)
         name, file = None, None
         for batch in batches:
             rows = []

@@ -82,3 +82,15 @@ def test_empty_archive_and_damage(spark):
     with pytest.raises(ValueError):
         warc.read_record(member)
     assert gzip.decompress(member).startswith(b"WARC/1.1\r\n")
+
+
+@pytest.mark.parametrize("form", ["{}", "file:{}", "file://{}"])
+def test_folders_in_every_form(spark, tmp_path, form):
+    from radiolith.llm.common import store_of
+
+    folder = form.format(tmp_path / "archive")
+    pages = spark.createDataFrame([(1, "http://a.org/x", "one"), (2, "http://a.org/y", "one"), (3, None, None)], "page_id long, url string, html string")
+    archive = warc.write_archive(pages, folder)
+    got = warc.read_records(spark, folder, warc.lookup(spark, archive, pages)).collect()
+    assert sorted((int(r["id"]), r["record_type"]) for r in got) == [(1, "revisit"), (2, "response"), (3, "response")]
+    assert store_of(folder)[1] == str(tmp_path / "archive")
