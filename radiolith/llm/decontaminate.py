@@ -7,11 +7,11 @@ the filter needs is one token, the rarest of the corpus.
 1. One pass over the documents keeps the positions of shingles that are in a filter of all the benchmark's
    shingles. The filter has a fixed size (``FILTER_BITS``), whatever the benchmark's.
 2. Shingles are counted by the documents that hold them, over all documents; each window's rarest becomes its prefix, and
-   a window with a shingle that no document holds is out.
+   a window with a shingle that no document holds is out. Equal windows of many items are one.
 3. Positions of prefix tokens meet the windows. The window's length and the token's place in it bound where it starts
    in the document.
 4. A candidate is verified shingle by shingle against the document's kept positions, which hold every shingle of
-   every window. Shingles are told by 64 bits each, eight of them for ten words.
+   every window, for ``STARTS`` starts of a document at a time. Items are joined to the windows found. Shingles are told by 64 bits each, eight of them for ten words.
 
 Defined cases: a null or empty text has no words, is not contaminated and is in no window; repeated documents are judged
 alike; repeated items and ids are merged by id; ids may be null (items without one count as one item, whose hits count but whose
@@ -32,6 +32,8 @@ from radiolith.llm.common import free_name, keyed, stored, text_bytes
 
 WINDOW, SHINGLE = 10, 3
 FILTER_BITS = 1 << 24
+#: Claims on a document are verified for so many starts at a time.
+STARTS = 1 << 13
 
 #: A-Z to lower case, every other byte of ASCII that is no letter or digit to a space.
 _FOLD = bytes(
@@ -69,7 +71,10 @@ def shingle_ids(words: list[bytes], size: int) -> np.ndarray:
 
 
 def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int, shingle: int) -> DataFrame:
-    """``item, words, size, shingles``: each window once per item, with its number of words and its shingles' ids."""
+    """``item, window, words, size, shingles``: each window once per item, with its number of words and its shingles' ids.
+
+    ``window`` is a digest that equal windows of all items share.
+    """
     rows = benchmark.select(F.col(id_col).alias("item"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,7 +99,8 @@ def item_windows(benchmark: DataFrame, id_col: str, text_col: str, window: int,
             )
 
     kind = rows.schema["item"].dataType.simpleString()
-    return rows.mapInArrow(run, f"item {kind}, words int, size int, shingles array<long>").distinct()
+    found = rows.mapInArrow(run, f"item {kind}, words int, size int, shingles array<long>").distinct()
+    return found.withColumn("window", F.sha2(F.concat_ws(",", F.col("words").cast("string"), F.col("shingles").cast("array<string>")), 256))
 
 
 def _filter(windows: DataFrame) -> tuple[np.ndarray, list[int]]:
@@ -149,13 +155,18 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     kept = stored(made.withColumn("doc", F.monotonically_increasing_id()), "shingles")
 
     held = kept.select(F.explode(F.array_distinct("tokens.id")).alias("id")).groupBy("id").agg(F.count("*").alias("df"))
-    places = windows.select("item", "words", "size", "shingles", F.posexplode("shingles").alias("offset", "id"))
+    # A passage that many items share is looked for once.
+    classes = windows.dropDuplicates(["window"]).select("window", "words", "size", "shingles")
+    places = classes.select("window", "words", "size", "shingles", F.posexplode("shingles").alias("offset", "id"))
     ranked = places.join(held, "id", "left")
     prefixes = (
-        ranked.groupBy("item", "words", "size", "shingles")
-        .agg(F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "id", "offset")).alias("rarest"))
+        ranked.groupBy("window")
+        .agg(
+            *[F.first(c).alias(c) for c in ("words", "size", "shingles")],
+            F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "id", "offset")).alias("rarest"),
+        )
         .where("rarest.df > 0")
-        .select("item", "words", "size", "shingles", F.col("rarest.id").alias("id"), F.col("rarest.offset").alias("offset"))
+        .select("window", "words", "size", "shingles", F.col("rarest.id").alias("id"), F.col("rarest.offset").alias("offset"))
     )
     wanted = prefixes.select("id").distinct()
     tokens = kept.select("doc", "n_words", F.explode("tokens").alias("t")).select("doc", "n_words", "t.at", "t.id")
@@ -163,32 +174,48 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
         tokens.join(wanted, "id", "left_semi").join(prefixes, "id")
         .withColumn("start", F.col("at") - F.col("offset"))
         .where("start >= 0 and start + words <= n_words")
-        .select("doc", "item", "start", "words", "shingles")
+        .select("doc", "window", "start", "words", "shingles")
     )
-    asked = candidates.groupBy("doc").agg(F.collect_list(F.struct("item", "start", "words", "shingles")).alias("asked"))
+    # A document's claims are collected for a stretch of starts at a time, and verified against its own tokens.
+    stretch = F.floor(F.col("start") / STARTS)
+    asked = candidates.groupBy("doc", stretch.alias("stretch")).agg(F.collect_list(F.struct("window", "start", "words", "shingles")).alias("asked")).drop("stretch")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hits, items, numbers = [], [], []
-            for size, held_tokens, claims in zip(*(batch.column(n).to_pylist() for n in ("n_words", "tokens", "asked")), strict=True):
+            spans, found = [], []
+            for held_tokens, claims in zip(*(batch.column(n).to_pylist() for n in ("tokens", "asked")), strict=True):
                 at = {}
                 for token in held_tokens:
                     at.setdefault(token["at"], set()).add(token["id"])
-                hit, names = np.zeros(size, bool), set()
+                ends, names = {}, set()
                 for claim in claims:
                     start = claim["start"]
                     if all(s in at.get(start + k, ()) for k, s in enumerate(claim["shingles"])):
-                        hit[start : start + claim["words"]] = True
-                        names.add(None if claim["item"] is None else str(claim["item"]))
-                hits.append(int(hit.sum()))
-                items.append(sorted(names - {None}))
-                numbers.append(len(names))
+                        ends[start] = max(ends.get(start, 0), start + claim["words"])
+                        names.add(claim["window"])
+                spans.append(_merged(sorted(ends.items())))
+                found.append(sorted(names))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(hits, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(numbers, pa.int64())],
-                names=["doc", "n_hit", "items", "n_items"],
+                [batch.column("doc"), pa.array(spans, pa.list_(pa.list_(pa.int32()))), pa.array(found, pa.list_(pa.string()))],
+                names=["doc", "spans", "windows"],
             )
 
-    verified = kept.select("doc", "n_words", "tokens").join(asked, "doc").mapInArrow(verify, "doc long, n_hit long, items array<string>, n_items long")
+    checked = kept.select("doc", "tokens").join(asked, "doc").mapInArrow(verify, "doc long, spans array<array<int>>, windows array<string>")
+    checked = stored(checked.where("size(spans) > 0"), "verified")
+    # Merged spans of a stretch may still meet those of the next: words are counted where they first end.
+    ordered = F.array_sort(F.flatten(F.collect_list("spans")))
+    counted = F.aggregate(
+        ordered,
+        F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
+        lambda done, s: F.struct(
+            (done["n"] + F.greatest(s[1] - F.greatest(s[0], done["end"]), F.lit(0))).alias("n"), F.greatest(done["end"], s[1]).alias("end")
+        ),
+    )["n"]
+    hits = checked.groupBy("doc").agg(counted.cast("long").alias("n_hit"))
+    found = checked.select("doc", F.explode("windows").alias("window")).distinct()
+    named = found.join(windows.select("window", F.col("item").cast("string").alias("item")), "window").select("doc", "item").distinct()
+    names = named.groupBy("doc").agg(F.sort_array(F.collect_list("item")).alias("items"), F.count("*").alias("n_items"))
+    verified = hits.join(names, "doc")
     return kept.select("doc", "id", "text_key", "n_words").join(verified, "doc", "left").select(
         F.col("id").alias(id_col),
         "text_key",
@@ -199,6 +226,17 @@ def contamination(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc
     )
 
 
+def _merged(spans: list[tuple[int, int]]) -> list[list[int]]:
+    """Sorted spans with those that meet joined."""
+    out: list[list[int]] = []
+    for start, end in spans:
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], end)
+        else:
+            out.append([start, end])
+    return out
+
+
 def drop_contaminated(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without a benchmark window, with all their columns."""
     key, mark = free_name(documents, "__doc"), free_name(documents, "__mark")
