@@ -62,3 +62,27 @@ def near_components(ids: list, marks: list[int], distance: int) -> dict:
     for i, m in zip(ids, marks, strict=True):
         smallest[root(m)] = min(i, smallest.get(root(m), i))
     return {i: smallest[root(m)] for i, m in zip(ids, marks, strict=True)}
+
+
+def near_groups(rows: list[tuple[int, str]], least: float = 0.8) -> dict[int, int]:
+    """Of each id the smallest id reachable over pairs whose five-word shingle sets reach the similarity."""
+    sets, holders = {}, {}
+    for i, text in rows:
+        words = (text or "").encode().lower().split()
+        sets[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else {i}
+        for s in sets[i]:
+            holders.setdefault(s, []).append(i)
+    group = {i: i for i in sets}
+
+    def root(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for i, own in sets.items():
+        met = Counter(j for s in own for j in holders[s] if j > i)
+        for j, both in met.items():
+            if both / (len(own) + len(sets[j]) - both) >= least:
+                a, b = sorted((root(i), root(j)))
+                group[b] = a
+    return {i: root(i) for i in group}

@@ -1,7 +1,7 @@
 """The registered queries against their SQL, and the pipeline against plain stages."""
 
 import pytest
-from brute import near_components, simhash
+from brute import near_groups
 from compare import differences, oracle_connection
 
 import corpus_pipeline
@@ -32,7 +32,7 @@ def test_pipeline_against_plain_stages(spark):
         key = "".join(t.split())
         best[key] = min(best.get(key, (1, 0, "")), (-len(t), i, t))
     rows = sorted((i, t) for _, i, t in best.values())
-    group = near_components([i for i, _ in rows], [simhash(t.encode()) for _, t in rows], 4)
+    group = near_groups(rows)
     rows = [(i, t) for i, t in rows if group[i] == i]
     windows = set()
     for r in table(spark, SF, "benchmark").collect():
