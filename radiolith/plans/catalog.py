@@ -19,7 +19,7 @@ from radiolith.plans import pipeline
 from radiolith.schemas import CSV_RECORD, DATE_TAGS, JSON_STUDY, XML_STUDY
 from radiolith.session import shared_dir
 from radiolith.sources import dicom, objects, sidecar, sinks, splitting, stores, study_view
-from radiolith.streaming import jobs
+from radiolith.streaming import alarms, jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -1068,3 +1068,15 @@ def stream_failure_alarms(spark: SparkSession, sf: str) -> DataFrame:
     jobs.start_alarms(points, f"{target}/out", f"{target}/checkpoint").awaitTermination()
     raised = jobs.raised_alarms(spark, f"{target}/out")
     return raised.select(_stamp("period_start"), "name", F.round("total", 6).alias("total"), "points")
+
+
+@register
+def stream_alarm_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Changes between OK and ALARM of the error metric, as far as the watermark has come."""
+    target = shared_dir(spark, "alarm-changes")
+    events = spark.readStream.schema(study_view.table(spark, sf, "events").schema).parquet(f"{sf}/events.parquet*")
+    points = events.where(F.col("event_type") == "error").select(
+        F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("name"), F.col("value").cast("double").alias("value")
+    )
+    alarms.start_alarm_changes(points, f"{target}/out", f"{target}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{target}/out").select("name", _stamp("period_start"), "from_state", "to_state")

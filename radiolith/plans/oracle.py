@@ -783,6 +783,14 @@ ORACLE: dict[str, str] = {
     ),
     "pipeline_batch": _over(_ROUTED, *FAILING),
     "stream_pipeline": _over(_ROUTED, *FAILING),
+    "stream_alarm_changes": f"""WITH p AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS s, event_type AS name, sum(value::DECIMAL(28, 6)) > 0 AS alarm
+        FROM events WHERE event_type = 'error' GROUP BY ALL),
+        c AS (SELECT s, name FROM p UNION SELECT s + INTERVAL 5 MINUTE, name FROM p),
+        j AS (SELECT c.s, c.name, coalesce(now.alarm, false) AS is_now, coalesce(before.alarm, false) AS was FROM c
+            LEFT JOIN p now ON now.s = c.s AND now.name = c.name LEFT JOIN p before ON before.s = c.s - INTERVAL 5 MINUTE AND before.name = c.name)
+        SELECT name, strftime(s, {_SECONDS}) AS period_start, CASE WHEN was THEN 'ALARM' ELSE 'OK' END AS from_state,
+        CASE WHEN is_now THEN 'ALARM' ELSE 'OK' END AS to_state FROM j
+        WHERE was <> is_now AND s + INTERVAL 5 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM events WHERE event_type = 'error')""",
     "stream_failure_alarms": f"""SELECT strftime(time_bucket(INTERVAL 5 MINUTE, ts), {_SECONDS}) AS period_start,
         event_type AS name, sum(value::DECIMAL(28, 6))::DOUBLE AS total, count(*) AS points
         FROM events WHERE event_type = 'error' GROUP BY time_bucket(INTERVAL 5 MINUTE, ts), event_type
