@@ -5,7 +5,8 @@ no piece has), and each distinct segment is encoded once:
 
 1. The segments are joined to one text, whose suffixes are sorted by as many characters as the longest piece has.
 2. Every piece is looked up by binary search: the suffixes that start with it are one range, its occurrences.
-3. Occurrences are edges from their start to their end. Sorted by end, they are relaxed from left to right.
+3. Occurrences are edges from their start to their end. Sorted by their end's distance from the segment's start, those of
+   one distance are relaxed together, in all segments at once, from left to right.
 
 In a byte-pair model the best path is not the one of least cost but the one that merging gives. A path is that of the
 merges exactly if every two neighbouring pieces, joined and merged alone, come apart again at the same place. So an edge is
@@ -37,8 +38,11 @@ MARK = "▁"
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 _CHUNK = 300_000
 _CACHED = 200_000
-#: Edges that are Python numbers at a time.
-_EDGES = 1 << 15
+#: Places of pairs whose agreement is kept in arrays, and the odd number that scatters them.
+_PLACES, _SCATTER = 1 << 20, np.uint64(0x9E3779B97F4A7C15)
+_NONE = 1 << 40
+#: Characters of a segment that advances in lockstep with others, at most.
+_LOCKSTEP = 256
 
 
 class Codec:
@@ -88,7 +92,13 @@ class Codec:
         self.segment = re.compile(
             (f"{MARK}+[^{cut}{alone}]*|" if splits else "") + f"[^{cut}{alone}]+" + (f"|[{alone}]" if alone else "")
         ) if cut or alone else re.compile(r"(?s).+")
+        self.code_of, self.is_piece = np.ones(0x110000, np.uint16), np.zeros(0x110000, bool)
+        self.code_of[0], self.is_piece[0] = 0, True
+        for c, code in self.codes.items():
+            self.code_of[ord(c)], self.is_piece[ord(c)] = code, c in self.ids
         self.agree: dict[int, bool] = {}
+        #: The pairs asked for lately, each at a place of its own number; another pair there is looked up in ``agree``.
+        self.pair, self.apart = np.full(_PLACES, -1 << 63, np.int64), np.zeros(_PLACES, bool)
         self.fresh: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
@@ -133,7 +143,8 @@ class Codec:
 
     def edges(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ends, starts and pieces of all occurrences in the joined text, sorted by end."""
-        codes = np.array([self.codes.get(c, 0 if c == "\0" else 1) for c in text], ">u2")
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+        codes = self.code_of[points]
         padded = np.concatenate((codes, np.zeros(self.longest, ">u2"))).astype(">u2")
         keys = self._keys(np.lib.stride_tricks.sliding_window_view(padded, self.longest)[: len(codes)])
         suffixes = np.argsort(keys, kind="stable").astype(np.int32)
@@ -146,50 +157,104 @@ class Codec:
         starts, pieces = suffixes[place], self.piece_ids[which]
         ends = starts + self.lengths[which]
         del which, place
-        lone = np.array([i for i, c in enumerate(text) if c not in self.ids and c != "\0"], np.int32)
+        lone = np.flatnonzero(~self.is_piece[points]).astype(np.int32)
         starts = np.concatenate((starts, lone))
         ends = np.concatenate((ends, lone + 1))
-        pieces = np.concatenate((pieces, np.array([-ord(text[i]) - 1 for i in lone.tolist()], np.int32)))
+        pieces = np.concatenate((pieces, -points[lone].astype(np.int32) - 1))
         order = np.argsort(ends, kind="stable")
         return ends[order], starts[order], pieces[order]
 
+    def _stand(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Whether each two pieces stay apart."""
+        keys = (left << 22) + right
+        places = (keys.view(np.uint64) * _SCATTER >> np.uint64(64 - _PLACES.bit_length() + 1)).view(np.int64)
+        out, met = self.apart[places], self.pair[places] == keys
+        new = np.flatnonzero(~met)
+        if len(new):
+            distinct, first, which = np.unique(keys[new], return_index=True, return_inverse=True)
+            agree, check, found = self.agree, self._agrees, []
+            for key, at in zip(distinct.tolist(), new[first].tolist(), strict=True):
+                known = agree.get(key)
+                found.append(check(int(left[at]), int(right[at])) if known is None else known)
+            found = np.array(found, bool)
+            out[new] = found[which]
+            self.pair[places[new]], self.apart[places[new]] = keys[new], out[new]
+        return out
+
+    def _relax_alone(self, starts: np.ndarray, ends: np.ndarray, pieces: np.ndarray, heads: np.ndarray, last: np.ndarray, back: np.ndarray) -> None:
+        """Edges of long segments, sorted by end, one after the other: few segments make lockstep a loop over characters."""
+        agree, check, own = self.agree, self._agrees, {}
+        for start, end, piece, head in zip(starts.tolist(), ends.tolist(), pieces.tolist(), heads[starts].tolist(), strict=True):
+            if start != head:
+                before = own.get(start)
+                if before is None:
+                    continue
+                known = agree.get((before << 22) + piece)
+                if not (check(before, piece) if known is None else known):
+                    continue
+            own[end] = piece
+            last[end], back[end] = piece, start
+
+    def _relax(self, starts: np.ndarray, ends: np.ndarray, pieces: np.ndarray, heads: np.ndarray, widths: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+        """The last piece of the path to each position and where it starts. ``heads`` and ``widths`` have start and length
+        of each position's segment.
+
+        Segments advance in lockstep: edges that end at the same distance from their segment's start are relaxed
+        together, as all that they lean on ends before.
+        """
+        last, back = np.full(size + 1, _NONE, np.int64), np.zeros(size + 1, np.int32)
+        long = widths[starts] > _LOCKSTEP
+        if long.any():
+            self._relax_alone(starts[long], ends[long], pieces[long], heads, last, back)
+            starts, ends, pieces = starts[~long], ends[~long], pieces[~long]
+        steps = ends - heads[starts]
+        order = np.argsort(steps, kind="stable")
+        starts, ends, pieces, steps = starts[order], ends[order], pieces[order].astype(np.int64), steps[order]
+        cuts = np.flatnonzero(np.diff(steps, prepend=0, append=1 << 30))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            start, end, piece = starts[a:b], ends[a:b], pieces[a:b]
+            before = last[start]
+            good = start == heads[start]
+            asked = np.flatnonzero(~good & (before != _NONE))
+            if len(asked):
+                good[asked] = self._stand(before[asked], piece[asked])
+            last[end[good]], back[end[good]] = piece[good], start[good]
+        return last, back
+
     def _encode_segments(self, segments: list[str]) -> None:
         # A NUL in a text is a character of no piece, and so is its stand-in.
         joined = "\0".join(s.replace("\0", "\uffff") for s in segments) + "\0"
         ends, starts, pieces = self.edges(joined)
-        last: list[int | None] = [None] * (len(joined) + 1)
-        back = [0] * (len(joined) + 1)
-        agree, check = self.agree, self._agrees
-        for part in range(0, len(ends), _EDGES):
-            for end, start, piece in zip(*(a[part : part + _EDGES].tolist() for a in (ends, starts, pieces)), strict=True):
-                before = last[start]
-                if before is None:
-                    # A path begins at a segment's start only.
-                    if start and joined[start - 1] != "\0":
-                        continue
-                else:
-                    known = agree.get((before << 22) + piece)
-                    if not (check(before, piece) if known is None else known):
-                        continue
-                last[end] = piece
-                back[end] = start
-        at = 0
-        for segment in segments:
-            end = at + len(segment)
-            path, here = [], end
-            while here > at:
-                path.append((last[here], back[here] - at))
-                here = back[here]
-            out = []
-            for piece, place in reversed(path):
-                if piece >= 0:
-                    out.append(piece)
-                elif self.bytes:
-                    out.extend(self.bytes[b] for b in segment[place].encode())
-                else:
-                    out.append(self.unknown)
-            self.fresh[segment] = np.array(out, np.int32).tobytes()
-            at = end + 1
+        lengths = np.fromiter(map(len, segments), np.int64, len(segments))
+        firsts = np.cumsum(lengths + 1) - lengths - 1
+        last, back = self._relax(starts, ends, pieces, np.repeat(firsts, lengths + 1), np.repeat(lengths, lengths + 1), len(joined))
+        # All paths are followed back together, a piece at a time.
+        here, active, rounds = firsts + lengths, np.flatnonzero(lengths), []
+        while len(active):
+            at = here[active]
+            rounds.append((active, last[at], back[at]))
+            here[active] = back[at]
+            active = active[back[at] > firsts[active]]
+        owner, found, places = (np.concatenate([r[k] for r in rounds]) if rounds else np.zeros(0, np.int64) for k in range(3))
+        order = np.lexsort((places, owner))
+        owner, found, places = owner[order], found[order], places[order]
+        stops = np.searchsorted(owner, np.arange(len(segments)), "right")
+        whole, start = found.astype(np.int32).tobytes(), 0
+        special = set(owner[found < 0].tolist())
+        for k, (segment, stop) in enumerate(zip(segments, stops.tolist(), strict=True)):
+            if k in special:
+                out, first = [], int(firsts[k])
+                for piece, place in zip(found[start:stop].tolist(), places[start:stop].tolist(), strict=True):
+                    if piece >= 0:
+                        out.append(piece)
+                    elif self.bytes:
+                        out.extend(self.bytes[b] for b in segment[place - first].encode())
+                    else:
+                        out.append(self.unknown)
+                self.fresh[segment] = np.array(out, np.int32).tobytes()
+            else:
+                self.fresh[segment] = whole[4 * start : 4 * stop]
+            start = stop
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Each text's piece ids as bytes of 32-bit numbers."""

@@ -138,3 +138,41 @@ def test_quality_edges(spark):
         assert {r["doc_id"]: r["keep"] for r in quality.classify(frame, classifier).collect() if r["doc_id"]} == {1: False, 2: False, 3: False}
         assert quality.keep_good(frame, classifier).columns == frame.columns
     assert quality.classify(frame.limit(0), quality.train(frame.limit(0), labels)).count() == 0
+
+
+def test_pieces_of_long_and_odd_texts_are_the_librarys():
+    plain = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL_PATH)
+    with open(pieces.MODEL_PATH, "rb") as file:
+        codec = pieces.Codec(file.read())
+    pick = random.Random(1)
+    texts = ["", " ", "a\0b", "￿", "日本語🙂", "x" * 5000, "ab" * 3000, "\n\t\r", "▁▁ ▁a", "é" * 70 + "ñ", "word " * 60000, "z" * 257 + " " + "z" * 256]
+    texts += ["".join(pick.choices("ab ▁\n\0é日x.,12", k=pick.randrange(400))) for _ in range(500)]
+    for some in (texts, texts[::-1]):
+        for text, made in zip(some, codec.encode_batch(some), strict=True):
+            assert np.frombuffer(made, np.int32).tolist() == plain.encode(text), repr(text)[:60]
+
+
+def test_a_passage_that_many_items_and_places_share(spark):
+    """Two thousand items hold one passage, and one document repeats it two thousand times."""
+    passage = " ".join(f"shared{i}" for i in range(14))
+    items = spark.range(2000).select(F.concat(F.lit("i"), F.col("id").cast("string")).alias("item_id"), F.lit(passage).alias("text"))
+    texts = [(1, f"{passage} stop " * 2000), (2, "clean words only " * 50), (3, passage.replace("shared13", "other")), (4, " ".join(passage.split()[:9]))]
+    got = {r["doc_id"]: r for r in decontaminate.contamination(spark.createDataFrame(texts, "doc_id long, text string"), items).collect()}
+    assert (got[1]["n_words"], got[1]["n_hit"], got[1]["n_items"]) == (30000, 28000, 2000)
+    assert got[1]["items"] == sorted(f"i{k}" for k in range(2000))
+    assert [got[i]["n_hit"] for i in (2, 3, 4)] == [0, 13, 0] and got[3]["n_items"] == 2000
+
+
+def test_words_are_counted_once_where_stretches_meet(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "STARTS", 3)
+    words = [f"w{i % 17}" for i in range(120)]
+    items = spark.createDataFrame([("a", " ".join(words[5:40])), ("b", "w1 w2"), (None, "w3 w4")], "item_id string, text string")
+    document = spark.createDataFrame([(1, " ".join(words) + " tail")], "doc_id long, text string")
+    row = decontaminate.contamination(document, items).first()
+    windows = {tuple(words[i : i + 10]) for i in range(5, 31)} | {("w1", "w2"), ("w3", "w4")}
+    hit = set()
+    for i in range(len(words)):
+        for n in (2, 10):
+            if tuple(words[i : i + n]) in windows:
+                hit |= set(range(i, i + n))
+    assert (row["n_hit"], row["items"], row["n_items"]) == (len([h for h in hit if h < 120]), ["a", "b"], 3)
