@@ -57,10 +57,14 @@ def _row_of_powers(base: int, size: int) -> np.ndarray:
     return out
 
 
+def _fold(x: np.ndarray) -> np.ndarray:
+    """A smaller number of the same residue modulo 2**31 - 1: the bits above are added to those below."""
+    return (x & _PRIME) + (x >> np.uint64(31))
+
+
 def _modulo(x: np.ndarray) -> np.ndarray:
-    """Residues modulo 2**31 - 1 of numbers below 2**63, by adding the bits above to those below."""
-    x = (x & _PRIME) + (x >> np.uint64(31))
-    x = (x & _PRIME) + (x >> np.uint64(31))
+    """Residues modulo 2**31 - 1 of numbers below 2**63."""
+    x = _fold(_fold(x))
     return np.where(x >= _PRIME, x - _PRIME, x)
 
 
@@ -77,8 +81,9 @@ def grams(tokens: np.ndarray, gram: int) -> np.ndarray:
     halves = []
     for half, (up, down) in zip((tokens & _PRIME, tokens >> np.uint64(33)), _powers(n), strict=True):
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_modulo(half * up[:n]), out=sums[1:])
-        halves.append(_modulo(_modulo(sums[gram:] - sums[: n - gram + 1]) * down[: n - gram + 1]))
+        # Products stay below 2**63: 2**18 terms below 2**32 each, a difference of them folded below 2**32.
+        np.cumsum(_fold(half * up[:n]), out=sums[1:])
+        halves.append(_modulo(_fold(sums[gram:] - sums[: n - gram + 1]) * down[: n - gram + 1]))
     return _mixed(halves[0] << np.uint64(31) | halves[1])
 
 
@@ -137,12 +142,12 @@ class Sampling:
         return ids[:size].view(np.int64), ids[self.reach - 1 : self.reach - 1 + size].view(np.int64)
 
 
-def _repeated_filter(documents: DataFrame, tokens_of: Callable[[bytes], np.ndarray], sampling: Sampling) -> np.ndarray:
+def _repeated_filter(documents: DataFrame, tokens_of: Callable[[pa.Array], Iterator[np.ndarray]], sampling: Sampling) -> np.ndarray:
     """A filter, as bytes, of the buckets with two or more anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [sampling.anchors(tokens_of(t))[0] for t in text_bytes(batch, "text")]
+            found = [sampling.anchors(tokens)[0] for tokens in tokens_of(batch.column("text"))]
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["bucket"])
 
@@ -160,9 +165,9 @@ def _repeated_filter(documents: DataFrame, tokens_of: Callable[[bytes], np.ndarr
     return out
 
 
-def anchor_table(documents: DataFrame, id_col: str, text_col: str, tokens_of: Callable[[bytes], np.ndarray],
+def anchor_table(documents: DataFrame, id_col: str, text_col: str, tokens_of: Callable[[pa.Array], Iterator[np.ndarray]],
                  whole: Callable[[bytes], tuple[int, str]], sampling: Sampling) -> DataFrame:
-    """Written to the shared folder, a row per document: ``doc`` (a number of its own), ``id``, ``size`` and ``sha``
+    """Written to the shared folder, a row per document (``tokens_of`` makes tokens of each text of a column): ``doc`` (a number of its own), ``id``, ``size`` and ``sha``
     (what ``whole`` says of the text), and for texts that may hold repeats ``text`` and ``anchors``."""
     spark = documents.sparkSession
     rows = keyed(documents, id_col, text_col)
@@ -174,8 +179,8 @@ def anchor_table(documents: DataFrame, id_col: str, text_col: str, tokens_of: Ca
         bits = sent.value
         for batch in batches:
             sizes, shas, texts, lengths, parts = [], [], [], [], []
-            for text in text_bytes(batch, "text"):
-                bucket, context, first, last = sampling.anchors(tokens_of(text))
+            for text, tokens in zip(text_bytes(batch, "text"), tokens_of(batch.column("text")), strict=True):
+                bucket, context, first, last = sampling.anchors(tokens)
                 cell = bucket.view(np.int64) % FILTER_BITS
                 hit = np.flatnonzero(bits[cell >> 3] >> (cell & 7).astype(np.uint8) & 1)
                 size, sha = whole(text)

@@ -24,6 +24,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +35,8 @@ from radiolith.llm.common import width
 WINDOW, GRAM = 35, 20
 SHARD_ROWS = 1024
 _BATCH = 4096
+#: Texts whose words are told apart together.
+_SHARE = 2048
 
 
 class _Tokens(dict):
@@ -53,6 +56,22 @@ def word_tokens(text: bytes) -> np.ndarray:
     return np.fromiter(map(_TOKENS.__getitem__, text.split()), np.uint64)
 
 
+def _token_arrays(texts: pa.Array) -> Iterator[np.ndarray]:
+    """Tokens of each text; words are cut and told apart by Arrow, so that only a share's distinct ones are hashed."""
+    for start in range(0, len(texts), _SHARE):
+        parts = pc.ascii_split_whitespace(texts.slice(start, _SHARE))
+        coded = pc.dictionary_encode(parts.flatten())
+        words = coded.dictionary.cast(pa.binary()).to_pylist()
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        places, ends = coded.indices.to_numpy(), parts.offsets.to_numpy()
+        ends = ends - ends[0]
+        if b"" in words:  # what stands before, behind and between white space
+            full = places != words.index(b"")
+            ends = np.concatenate([[0], np.cumsum(full)])[ends]
+            places = places[full]
+        yield from np.split(hashes[places], ends[1:-1])
+
+
 def _whole(text: bytes) -> tuple[int, str]:
     words = text.split()
     return len(words), hashlib.sha256(b" ".join(words)).hexdigest()
@@ -168,7 +187,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """Per row: id, ``kept`` (the words that are left, joined by a space; null: all of them), ``n_words``, ``n_removed``,
     ``kept_sha256``."""
     sampling = Sampling(window, gram)
-    table = anchor_table(documents, id_col, text_col, word_tokens, _whole, sampling)
+    table = anchor_table(documents, id_col, text_col, _token_arrays, _whole, sampling)
     anchors = settle(table)
     asked = anchors.where("leads").groupBy("doc").agg(F.collect_list(F.struct("bucket", "first", "last", "contexts")).alias("runs"))
     # The same columns for both joins below, so that the texts are shuffled once.

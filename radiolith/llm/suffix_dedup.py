@@ -37,6 +37,10 @@ def byte_tokens(text: bytes) -> np.ndarray:
     return _BYTES[np.frombuffer(text, np.uint8)]
 
 
+def _token_arrays(texts: pa.Array) -> Iterator[np.ndarray]:
+    return (byte_tokens(t) for t in texts.cast(pa.binary()).to_pylist())
+
+
 def _whole(text: bytes) -> tuple[int, str]:
     return len(text), hashlib.sha256(text).hexdigest()
 
@@ -68,7 +72,7 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
     """Per row: id, ``kept`` (the bytes that are left; null: the whole text), ``n_bytes``, ``n_removed``, ``n_spans``,
     ``kept_sha256``."""
     sampling = Sampling(window, gram)
-    table = anchor_table(documents, id_col, text_col, byte_tokens, _whole, sampling)
+    table = anchor_table(documents, id_col, text_col, _token_arrays, _whole, sampling)
     anchors = settle(table)
     asked = anchors.where("leads").groupBy("doc").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
     # The same columns for both joins below, so that the texts are shuffled once.

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from brute import repeated_bytes, repeated_words
 
@@ -111,3 +112,11 @@ def test_identifiers_depend_on_the_tokens_alone():
     for start in (1, 77, 4000):
         assert (grams(tokens[start:], 300) == whole[start:]).all()
     assert len(grams(tokens[:299], 300)) == 0
+
+
+def test_words_of_a_column_are_those_of_each_text():
+    texts = ["", " ", "a b", " a\tb\x0bc\x0c\r\n d ", "x\x1cy\xa0z \u2003 w", "é " * 50, "a", "  "] * 700
+    column = pa.array(["skipped", *texts], pa.string()).slice(1)
+    got = list(substring_dedup._token_arrays(column))
+    assert [g.tolist() for g in got] == [substring_dedup.word_tokens(t.encode()).tolist() for t in texts]
+    assert list(substring_dedup._token_arrays(column.slice(0, 0))) == []
