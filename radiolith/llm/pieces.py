@@ -36,8 +36,8 @@ from pyspark.sql import functions as F
 MARK = "▁"
 #: Where the public tokenizer files are; see encode's ``model_path``.
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-_CHUNK = 300_000
-_CACHED = 200_000
+_CHUNK = 150_000
+_CACHED = 150_000
 #: Places of pairs whose agreement is kept in arrays, and the odd number that scatters them.
 _PLACES, _SCATTER = 1 << 20, np.uint64(0x9E3779B97F4A7C15)
 _NONE = 1 << 40
@@ -209,10 +209,11 @@ class Codec:
             starts, ends, pieces = starts[~long], ends[~long], pieces[~long]
         steps = ends - heads[starts]
         order = np.argsort(steps, kind="stable")
-        starts, ends, pieces, steps = starts[order], ends[order], pieces[order].astype(np.int64), steps[order]
+        starts, ends, pieces, steps = starts[order], ends[order], pieces[order], steps[order]
+        del order
         cuts = np.flatnonzero(np.diff(steps, prepend=0, append=1 << 30))
         for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            start, end, piece = starts[a:b], ends[a:b], pieces[a:b]
+            start, end, piece = starts[a:b], ends[a:b], pieces[a:b].astype(np.int64)
             before = last[start]
             good = start == heads[start]
             asked = np.flatnonzero(~good & (before != _NONE))
@@ -227,7 +228,7 @@ class Codec:
         ends, starts, pieces = self.edges(joined)
         lengths = np.fromiter(map(len, segments), np.int64, len(segments))
         firsts = np.cumsum(lengths + 1) - lengths - 1
-        last, back = self._relax(starts, ends, pieces, np.repeat(firsts, lengths + 1), np.repeat(lengths, lengths + 1), len(joined))
+        last, back = self._relax(starts, ends, pieces, np.repeat(firsts.astype(np.int32), lengths + 1), np.repeat(lengths.astype(np.int32), lengths + 1), len(joined))
         # All paths are followed back together, a piece at a time.
         here, active, rounds = firsts + lengths, np.flatnonzero(lengths), []
         while len(active):
