@@ -1,8 +1,11 @@
 """Near copies of the pipeline: documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
+0. Texts whose SimHash fingerprints are linked (``simhash.near_groups``) are candidates. These links miss most pairs at
+   0.8, and join some far below it, so further candidates and an exact check follow.
 1. A document gets ``BANDS`` keys of ``ROWS`` minima each. A pair at similarity s shares none with a chance of
-   (1 - s ** ROWS) ** BANDS: 8 in a million at 0.8, less above. This is the only place where a pair can be lost.
-2. Each document is linked to the smallest of every key it shares; components of these links are the candidates.
+   (1 - s ** ROWS) ** BANDS: 8 in a million at 0.8, less above. A pair is lost only if no fingerprint links it either.
+2. Each document is linked to the smallest of every key it shares, and to the smallest of its SimHash component;
+   components of these links are the candidates.
    No pairs are listed, so a key that many documents share costs one row for each.
 3. Within a component, shingle sets are compared in full, and only pairs that reach the similarity become links.
    Components of more than ``BLOCK_ROWS`` texts or ``BLOCK_CHARS`` characters are cut into blocks, and every two blocks meet in a
@@ -27,7 +30,7 @@ from pyspark.sql import functions as F
 from radiolith.llm.common import cut, keyed, stored, text_bytes, width
 from radiolith.llm.components import components
 from radiolith.llm.decontaminate import shingle_ids
-from radiolith.llm.simhash import and_end, only_rows, row_key
+from radiolith.llm.simhash import and_end, near_groups, only_rows, row_key
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 64, 8
@@ -93,7 +96,7 @@ def spanning_links(sets: list[np.ndarray], similarity: float = SIMILARITY) -> li
 
 
 def candidates(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``text_key, cluster`` of the texts that share a band's key with another; near copies have one cluster."""
+    """``text_key, cluster`` of the texts that SimHash or a band's key links to another; near copies have one cluster."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +108,9 @@ def candidates(texts: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     marked = stored(texts.select("text_key", "text").mapInArrow(run, "text_key long, bands array<long>"), "bands")
     keys = marked.select("text_key", F.explode("bands").alias("band"))
     least = keys.groupBy("band").agg(F.min("text_key").alias("low"), F.max("text_key").alias("high")).where("low < high")
-    roots = cut(components(keys.join(least.select("band", "low"), "band").select(F.col("text_key").alias("a"), F.col("low").alias("b"))))
+    banded = keys.join(least.select("band", "low"), "band").select(F.col("text_key").alias("a"), F.col("low").alias("b"))
+    marks = near_groups(texts, "text_key", "text").select(F.col("text_key").alias("a"), F.col("component_id").alias("b"))
+    roots = cut(components(marks.union(banded)))
     return roots.select(F.col("node").alias("text_key"), F.col("root").alias("cluster")).union(
         roots.select("root", "root").distinct()
     )
