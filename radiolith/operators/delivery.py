@@ -143,38 +143,42 @@ def manifest_documents(files: DataFrame, created_at: Column, max_files: int) ->
     """
     spark = files.sparkSession
     order = ["file_path", "file_size", "checksum"]
-    named = files.select(manifest_id().alias("manifest_id"), *STUDY, *order)
-    ranges = shared_dir(spark, "manifest-files")
-    # Ranges are drawn from a sample, so they are written before they are counted and numbered.
-    dealt = named.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "manifest_id", *order)
+    ranges, keys = shared_dir(spark, "manifest-files"), ["_patient", "_study"]
+    # Ranges are drawn from a sample, so they are written before they are counted and numbered. The manifest id is a
+    # digest that no shuffle can compress; rows are dealt by patient and study (NULL as a key), and documents get it at the end.
+    whole = [F.coalesce(F.concat(F.lit("="), F.col(name)), F.lit("-")).alias(key) for name, key in zip(STUDY, keys, strict=True)]
+    dealt = files.select(*whole, *order).repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys, *order)
     dealt.withColumn("range", F.spark_partition_id()).write.parquet(ranges)
     numbered = spark.read.parquet(ranges)
-    before = Window.partitionBy("manifest_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
-        numbered.groupBy("manifest_id", "range")
+        numbered.groupBy(*keys, "range")
         .agg(F.count("*").alias("files"))
         .select(
-            "manifest_id",
+            *keys,
             "range",
             F.coalesce(F.sum("files").over(before), F.lit(0)).alias("before"),
-            F.sum("files").over(Window.partitionBy("manifest_id")).alias("all_files"),
+            F.sum("files").over(Window.partitionBy(*keys)).alias("all_files"),
         )
     )
-    within = F.row_number().over(Window.partitionBy("manifest_id", "range").orderBy(*order))
+    within = F.row_number().over(Window.partitionBy(*keys, "range").orderBy(*order))
     place = F.col("before") + F.col("n") - 1
     listed = (
         numbered.withColumn("n", within)
-        .join(offsets, ["manifest_id", "range"])
-        .groupBy("manifest_id", F.floor(place / max_files).cast("int").alias("part"))
+        .join(offsets, [*keys, "range"])
+        .groupBy(*keys, F.floor(place / max_files).cast("int").alias("part"))
         .agg(
-            *[F.first(name).alias(name) for name in STUDY],
             F.ceil(F.first("all_files") / max_files).cast("int").alias("parts"),
             F.sort_array(F.collect_list(F.struct(*order))).alias("files"),
             F.sum("file_size").alias("part_size_bytes"),
         )
     )
-    return listed.select(
-        "manifest_id",
+    studies = {
+        name: F.when(F.startswith(key, F.lit("=")), F.expr(f"substr({key}, 2)")).cast(files.schema[name].dataType)
+        for name, key in zip(STUDY, keys, strict=True)
+    }
+    return listed.withColumns(studies).select(
+        manifest_id().alias("manifest_id"),
         created_at.alias("created_at"),
         *STUDY,
         "part",

@@ -256,3 +256,16 @@ def test_notifications_that_come_twice(spark, tmp_path):
         stream.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == 10 == objects.distinct_arrivals(spark.read.parquet(str(tmp_path / "in"))).count()
+
+
+def test_files_of_manifest_documents_move_without_their_digest(spark, monkeypatch, tmp_path):
+    rows = [(p, s, f"raw/{n}.dcm", n, "c" * 32) for p, s in (("P1", "1.2"), (None, "1.2"), ("", "1.2"), ("-", None)) for n in range(5)]
+    files = spark.createDataFrame(rows, "patient_id string, study_instance_uid string, file_path string, file_size long, checksum string")
+    monkeypatch.setattr(delivery, "shared_dir", lambda *_: str(tmp_path / "ranges"))
+    documents = delivery.manifest_documents(files, F.lit("x"), max_files=2).collect()
+    found = sorted((str(d["patient_id"]), str(d["study_instance_uid"]), d["part"], d["parts"], d["part_files"]) for d in documents)
+    pairs = sorted((str(p), str(s)) for p, s in (("P1", "1.2"), (None, "1.2"), ("", "1.2"), ("-", None)))
+    assert found == [(*pair, part, 3, size) for pair in pairs for part, size in ((0, 2), (1, 2), (2, 1))]
+    assert "manifest_id" not in spark.read.parquet(str(tmp_path / "ranges")).columns
+    ids = {r["manifest_id"] for r in delivery.manifest_headers(files, F.lit("x")).collect()}
+    assert {d["manifest_id"] for d in documents} == ids and len(ids) == 4
